@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.llm._common import shared_dir, written
-from docloom.llm.tokens import PieceEncoder, batches
+from docloom.llm.tokens import Encoder, batches
 
 WINDOW = 2048
 END_ID = 1
@@ -34,12 +34,12 @@ def encode(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         from pyspark import TaskContext
 
         part, upto = TaskContext.get().partitionId(), 0
-        encoder = PieceEncoder(path, lengths_only=False)
+        encoder = Encoder(path)
         end = np.array([end_id], encoder.width).tobytes()
         width = len(end)
         for batch in parts:
             for i, j, texts in batches(batch.column(1)):
-                ids = [x + end for x in encoder.encode(texts)]
+                ids = [x.astype(encoder.width).tobytes() + end for x in encoder.ids(texts)]
                 n = np.fromiter((len(x) // width for x in ids), np.int64, len(ids))
                 start = upto + np.cumsum(n) - n
                 upto += int(n.sum())

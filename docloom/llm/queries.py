@@ -29,6 +29,12 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), _tokenizer())
 
 
+def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.near_dup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.sharding import shard_rows
 
@@ -36,7 +42,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op5_token_counts, op10_sharding)}
+    return {f.__name__: f for f in (op2_packing, op5_token_counts, op6_near_dup, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -29,6 +30,13 @@ def written(df: DataFrame, at: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of finished steps: Spark deletes a shuffle's files once the driver has collected the
+    frames that made it, which else happens rarely."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null counts as empty. No copy unless there are nulls."""
     if isinstance(col, pa.ChunkedArray):
@@ -129,21 +137,26 @@ class Words:
         h, m = self.hash, len(self.hash) - size + 1
         if m <= 0:
             return np.zeros(0, np.uint64), np.zeros(0, bool)
-        if size <= 8:
-            k = np.uint64(2 * seed + 1) * _BASE | np.uint64(1)
-            out = np.zeros(m, np.uint64)
-            for i in range(size):
-                out *= k
-                out += h[i : i + m]
-        else:
-            base = np.uint64(pow(int(_BASE), 2 * seed + 1, 1 << 64))
-            power = _power_table(base, f"up{seed}", len(h))
-            inverse = _power_table(np.uint64(pow(int(base), -1, 1 << 64)), f"down{seed}", len(h))
-            sums = np.zeros(len(h) + 1, np.uint64)
-            np.cumsum(h * power[: len(h)], out=sums[1:])
-            out = (sums[size:] - sums[:m]) * inverse[:m]
+        if size > 8:
+            at = np.arange(m)
+            return self.spans(at, at + size, seed), self.whole(size)
+        k = np.uint64(2 * seed + 1) * _BASE | np.uint64(1)
+        out = np.zeros(m, np.uint64)
+        for i in range(size):
+            out *= k
+            out += h[i : i + m]
         return mix(out), self.whole(size)
 
+    def spans(self, a: np.ndarray, b: np.ndarray, seed: int) -> np.ndarray:
+        """Hashes of the word runs [a, b), in which the length counts."""
+        n = len(self.hash)
+        base = np.uint64(pow(int(_BASE), 2 * seed + 1, 1 << 64))
+        power = _power_table(base, f"up{seed}", max(n, 1))
+        inverse = _power_table(np.uint64(pow(int(base), -1, 1 << 64)), f"down{seed}", max(n, 1))
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(mix(self.hash + np.uint64(seed)) * power[:n], out=sums[1:])
+        return mix((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64))
+
     def whole(self, size: int) -> np.ndarray:
         m = max(len(self.hash) - size + 1, 0)
         text = np.repeat(np.arange(len(self.first) - 1), self.counts())

@@ -23,6 +23,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), _tokenizer(), with_ids=False)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.substring_dedup import dedup_report
+
+    return dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.tokens import token_counts
 
@@ -42,7 +48,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op5_token_counts, op6_near_dup, op10_sharding)}
+    return {f.__name__: f for f in (op2_packing, op4_substring_dedup, op5_token_counts, op6_near_dup, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -23,6 +23,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), _tokenizer(), with_ids=False)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.substring_dedup import dedup_report
 
@@ -48,7 +54,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op4_substring_dedup, op5_token_counts, op6_near_dup, op10_sharding)}
+    return {f.__name__: f for f in (op2_packing, op3_toxicity, op4_substring_dedup, op5_token_counts, op6_near_dup, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:

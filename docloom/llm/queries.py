@@ -17,6 +17,12 @@ def _tokenizer() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.packing import pack
 
@@ -54,7 +60,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op3_toxicity, op4_substring_dedup, op5_token_counts, op6_near_dup, op10_sharding)}
+    return {f.__name__: f for f in (op1_warc, op2_packing, op3_toxicity, op4_substring_dedup, op5_token_counts, op6_near_dup, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:

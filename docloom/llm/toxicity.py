@@ -9,7 +9,8 @@ Training (on the driver, on a bounded sample of labelled rows: ``SAMPLE``):
    The field (two labels, lexicon and neighbour features, transitions) is fitted to passages of at most
    ``PASSAGE`` words by gradient ascent on the penalised conditional likelihood.
 3. A logistic layer maps what forward-backward gives for a document (the chance that any word
-   is toxic, the expected number of toxic words, the largest marginal) to its score.
+   is toxic and the expected number of toxic words, both beyond those of as many plain words, and the largest
+   marginal) to its score.
 
 Scoring is exact over whole texts: runs of words without features are passed by powers of one 2x2 matrix, so the
 work lies in the words that matter. Spans are runs of words with a marginal of 0.5 or more.
@@ -32,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SAMPLE = 2000  # training rows of each class at most
 MAX_CHARS = 20_000  # longer texts are not trained on (they are scored whole)
@@ -143,12 +145,15 @@ class Chain:
 
     def document(self, words: list[str]) -> tuple[np.ndarray, dict[int, float]]:
         marked, n = self.marked(words), len(words)
-        if not marked and n in self.plain:
-            return self.plain[n]
+        if not marked:
+            return np.zeros(3), {}
         clean, expected, near = self.run(n, marked)
-        if not marked and len(self.plain) < 20_000:
-            self.plain[n] = document_features(clean, expected, max(near.values(), default=0.0)), near
-        return document_features(clean, expected, max(near.values(), default=0.0)), near
+        if n not in self.plain:
+            if len(self.plain) > 20_000:
+                self.plain.clear()
+            self.plain[n] = self.run(n, {})[:2]
+        plain_clean, plain_expected = self.plain[n]
+        return document_features(clean - plain_clean, expected - plain_expected, max(near[i] for i in marked)), near
 
     def score(self, x: np.ndarray) -> float:
         z = float(self.m.layer[0] + x @ self.m.layer[1:])
@@ -156,7 +161,8 @@ class Chain:
 
 
 def document_features(clean: float, expected: float, most: float) -> np.ndarray:
-    return np.array([-math.expm1(clean), math.log1p(expected), most])
+    """Both beyond what as many plain words give, so that length alone is no evidence."""
+    return np.array([-math.expm1(min(clean, 0.0)), math.log1p(max(expected, 0.0)), most])
 
 
 # --- training ---------------------------------------------------------------------------------
@@ -347,9 +353,8 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
                 spans.append(_spans(text, near, threshold) if near and max(near.values()) >= threshold else [])
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64()), pa.array(spans, spans_type)], [*names, "toxic_score", "toxic_spans"])
 
-    from pyspark.sql.types import StructType
-
-    schema = StructType.fromJson(docs.schema.jsonValue()).add("toxic_score", "double").add("toxic_spans", "array<struct<start:int,length:int,marginal:double>>")
+    span = T.StructType().add("start", T.IntegerType()).add("length", T.IntegerType()).add("marginal", T.DoubleType())
+    schema = T.StructType([*docs.schema.fields, T.StructField("toxic_score", T.DoubleType()), T.StructField("toxic_spans", T.ArrayType(span))])
     return docs.mapInArrow(run, schema)
 
 

@@ -92,6 +92,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: ASCII punctuation and controls also separate words here; bytes of non-ASCII letters never do.
+NO_LETTER = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -103,14 +105,14 @@ class Words:
     than texts); hash: 64 bits per word, optionally of the word with A-Z lower-cased.
     """
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, lower: bool = False, separators: np.ndarray = _SPACE):
         n = len(raw)
         if lower and n:
             raw = _LOWER[raw]
         self.raw = raw
         inside = np.zeros(n + 2, bool)
         if n:
-            inside[1:-1] = ~_SPACE[raw]
+            inside[1:-1] = ~separators[raw]
         starts = inside[1:] & ~inside[:-1]  # position i starts a word
         cuts = offsets[1:-1]
         cuts = cuts[(cuts > 0) & (cuts < n)]

@@ -53,6 +53,13 @@ def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.ann import search
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return search(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.decontamination import contaminated
 
@@ -66,7 +73,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_packing, op3_toxicity, op4_substring_dedup, op5_token_counts, op6_near_dup, op9_decontamination, op10_sharding)}
+    return {f.__name__: f for f in (op1_warc, op2_packing, op3_toxicity, op4_substring_dedup, op5_token_counts, op6_near_dup, op7_ann, op9_decontamination, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:

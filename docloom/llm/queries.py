@@ -60,6 +60,12 @@ def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.html_text import main_text
+
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.decontamination import contaminated
 
@@ -73,7 +79,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_packing, op3_toxicity, op4_substring_dedup, op5_token_counts, op6_near_dup, op7_ann, op9_decontamination, op10_sharding)}
+    return {f.__name__: f for f in (op1_warc, op2_packing, op3_toxicity, op4_substring_dedup, op5_token_counts, op6_near_dup, op7_ann, op8_html_text, op9_decontamination, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:

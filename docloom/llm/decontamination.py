@@ -218,3 +218,30 @@ def _matched(docs: DataFrame, ids: list, texts: list[str], schema: str) -> DataF
 
     id_type = pa.int32() if ", item_id int" in schema else pa.int64() if "item_id bigint" in schema else pa.string()
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+
+
+def without_matches(docs: DataFrame, benchmark: DataFrame, items_bytes: int = ITEMS_BYTES) -> DataFrame:
+    """The rows of ``docs``, with all columns, that match no item; nothing is shuffled."""
+    known = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("text is not null")
+    total = known.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
+    parts = max(1, -(-int(total) // items_bytes))
+    at = docs.columns.index("text")
+    for p in range(parts):
+        rows = known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == p).orderBy("item_id", "text").collect()
+        docs = docs.mapInArrow(_filter([r.text for r in rows], at), docs.schema)
+    return docs
+
+
+def _filter(texts: list[str], at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = Items(list(range(len(texts))), texts)
+        for batch in batches:
+            raw, offsets = text_buffer(batch.column(at))
+            keep = np.ones(batch.num_rows, bool)
+            for i, j in by_bytes(offsets, BLOCK_BYTES):
+                base = offsets[i]
+                words = Words(raw[base : offsets[j]], offsets[i : j + 1] - base, lower=True, separators=NO_LETTER)
+                keep[[i + m[0] for m in items.matches(words)]] = False
+            yield batch.filter(pa.array(keep))
+
+    return run

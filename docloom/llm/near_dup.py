@@ -7,8 +7,9 @@
   its ``k - OVERLAP + 1`` rarest values only, by their number of classes: similar classes still
   meet, while classes that merely share frequent passages do not.
 * No list gives all its pairs. Each list compares its members with a few pivots; a list
-  whose members are all in one component, or have all been compared, is done. What is left is
-  compared in blocks by sketch, and only pairs that can still link different components go on.
+  whose members are all in one component, or have all been compared, is done. Lists still open are
+  joined up to families where that saves work, and compared in blocks on whole sets; each pair of
+  blocks gives a spanning forest of the links between different components.
 * Candidates are filtered by the union sketch (the k smallest of both sets), then their whole
   sets are compared. Links are merged by star contraction on written tables.
 
@@ -35,9 +36,8 @@ INDEX_K = 32  # retained values that are listed
 SKETCH_K = 64  # retained values for the union-sketch estimate
 OVERLAP = 12  # of INDEX_K: what similar sets share at least
 ESTIMATE = 0.5  # least union-sketch estimate, 4.6 standard deviations below the threshold
-PIVOTS = 4
-ROUNDS = 4
-BLOCK = 200
+PIVOTS = 2
+BLOCK = 400
 BLOCK_BYTES = 1 << 20
 
 
@@ -186,37 +186,85 @@ def labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(open_, "value", "left_semi")
 
 
-def block_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components in one list that share enough of their sketches.
-
-    A list is cut into blocks by hash and each pair of blocks is a group of bounded size; pairs are
-    compared there by their sketches and only those that pass come out."""
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+def groups(rows: DataFrame, at: str) -> DataFrame:
+    """(group, node, component, members): open lists, or what they join up to where that is less work.
+
+    The lists of one family of near copies have nearly the same members, so comparing within the
+    family once is cheaper than within each list; lists that only chain are left as they are.
+    """
+    hub = rows.groupBy("value").agg(F.min("node").alias("hub"), F.count("*").alias("m"))
+    family = components(rows.join(hub, "value").select(F.col("node").alias("a"), F.col("hub").alias("b")), f"{at}/families")
+    family = written(family.select("node", F.col("component").alias("family")), f"{at}/family")
+    lists = hub.join(family.withColumnRenamed("node", "hub"), "hub").select("value", "m", "family")
+    by_list = lists.groupBy("family").agg(F.sum(F.col("m").cast("double") * F.col("m")).alias("work"))
+    size = family.groupBy("family").agg(F.count("*").alias("size"))
+    whole = size.join(by_list, "family").select("family", "size", (F.col("size").cast("double") * F.col("size") <= F.col("work")).alias("whole"))
+    members = rows.join(lists.select("value", "m", "family"), "value").join(whole, "family")
+    return members.select(
+        F.when(F.col("whole"), F.struct(F.lit(0).alias("kind"), F.col("family").alias("id"))).otherwise(F.struct(F.lit(1).alias("kind"), F.col("value").alias("id"))).alias("group"),
+        "node",
+        "component",
+        F.when(F.col("whole"), F.col("size")).otherwise(F.col("m")).alias("members"),
+    ).distinct()
+
+
+def common_counts(hashes: np.ndarray, owner: np.ndarray, n: int, width: int = 4096) -> np.ndarray:
+    """How many hashes each two of ``n`` sets share, by products of incidence matrices ``width`` columns wide."""
+    order = np.argsort(hashes, kind="stable")
+    hashes, owner = hashes[order], owner[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    column = np.cumsum(new) - 1
+    shared = np.bincount(column)[column] > 1
+    owner, column = owner[shared], column[shared]
+    if len(column):
+        column = np.cumsum(np.append(True, column[1:] != column[:-1])) - 1
+    out = np.zeros((n, n), np.float32)
+    for a in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        lo, hi = np.searchsorted(column, [a, a + width])
+        has = np.zeros((n, width), np.float32)
+        has[owner[lo:hi], column[lo:hi] - a] = 1
+        out += has @ has.T
+    return out
+
+
+def block_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between different components within a group, verified on whole sets.
+
+    A group is cut into blocks by hash and each pair of blocks is compared in one task of bounded size;
+    of the links found there only a spanning forest comes out, never all pairs."""
     placed = (
-        rows.withColumn("blocks", blocks)
+        rows.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
         .withColumn("mine", F.pmod(F.xxhash64(F.lit(7), "node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .join(classes.select("node", "sketch"), "node")
-        .select("value", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "mine", "node", "n", "component", "sketch")
+        .select("group", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "mine", "node", "component")
+        .join(sets, "node")
     )
 
-    def compare(group: pa.Table) -> pa.Table:
-        node, n, comp, mine = (group.column(c).to_numpy() for c in ("node", "n", "component", "mine"))
-        col = group.column("sketch").combine_chunks()
-        values, inverse = np.unique(col.flatten().to_numpy(), return_inverse=True)
-        size = np.diff(col.offsets.to_numpy())
-        has = np.zeros((len(node), len(values)), np.float32)
-        has[np.repeat(np.arange(len(node)), size), inverse] = 1
-        common = has @ has.T
-        small = np.minimum.outer(np.minimum(n, SKETCH_K), np.minimum(n, SKETCH_K))
-        ok = common >= np.maximum(1, np.minimum(28, small // 2))
-        ok &= np.not_equal.outer(comp, comp) & (np.minimum.outer(n, n) * 100 >= PERCENT * np.maximum.outer(n, n)) & np.less.outer(node, node)
-        if group.column("lo")[0] != group.column("hi")[0]:
-            ok &= np.not_equal.outer(mine, mine)
-        a, b = np.nonzero(ok)
-        return pa.table({"a": node[a], "b": node[b]})
-
-    return placed.groupBy("value", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
+    def compare(table: pa.Table) -> pa.Table:
+        node, comp, mine = (table.column(c).to_numpy() for c in ("node", "component", "mine"))
+        parts = [np.frombuffer(x.as_buffer(), np.int64) for x in table.column("hashes")]
+        size = np.array([len(x) for x in parts])
+        n = len(node)
+        common = common_counts(np.concatenate(parts), np.repeat(np.arange(n), size), n)
+        linked = (100 * common >= PERCENT * (size[:, None] + size[None, :] - common)) & (common > 0)
+        linked &= comp[:, None] != comp[None, :]
+        if table.column("lo")[0] != table.column("hi")[0]:
+            linked &= mine[:, None] != mine[None, :]
+        a, b, seen = [], [], np.zeros(n, bool)
+        for first in np.flatnonzero(linked.any(1)):
+            todo = [] if seen[first] else [first]
+            seen[first] = True
+            while todo:
+                i = todo.pop()
+                new = np.flatnonzero(linked[i] & ~seen)
+                seen[new] = True
+                todo += new.tolist()
+                a += [node[i]] * len(new)
+                b += node[new].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return placed.select("group", "lo", "hi", "mine", "node", "component", "hashes").groupBy("group", "lo", "hi").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -233,25 +281,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     lists = inverted_lists(classes, at)
     sets = written(whole_sets(docs, lists.select("node").distinct()), f"{at}/sets")
-    labels = spark.createDataFrame([], "node long, component long")
-    todo = lists.withColumn("component", F.col("node"))
-    checked = 0
-    for k in range(ROUNDS):
-        upto = 1 if k == 0 else checked + PIVOTS
-        chosen = pivots(lists, upto).where(F.col("rank") > checked)
-        pairs = chosen.join(todo, "value").where((F.col("pivot") != F.col("node")) & size_fits(F.col("n"), F.col("pivot_n")))
-        if k:  # the pivot's own component
-            own = labels.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_component"))
-            pairs = pairs.join(own, "pivot", "left").where(F.coalesce("pivot_component", "pivot") != F.col("component"))
-        pairs = pairs.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
-        labels = _merged(labels, verified(estimated(pairs, classes), sets), f"{at}/round{k}")
-        checked = upto
-        todo = written(labelled(lists.where(F.col("members") > checked + 1), labels), f"{at}/todo{k}")
-        left = todo.groupBy("value", "members").agg(F.count_distinct("component").alias("c")).agg(F.sum("c"), F.sum("members")).first()
-        if not left[0] or (k and left[1] < 2 * left[0]):  # mostly unlike members: pivots gain little more
-            break
-    if left[0]:
-        labels = _merged(labels, verified(estimated(block_pairs(todo, classes), classes), sets), f"{at}/blocks")
+    chosen = pivots(lists, PIVOTS)
+    pairs = chosen.join(lists, "value").where((F.col("pivot") != F.col("node")) & size_fits(F.col("n"), F.col("pivot_n")))
+    pairs = pairs.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
+    labels = _merged(spark.createDataFrame([], "node long, component long"), verified(estimated(pairs, classes), sets), f"{at}/pivots")
+    # lists of at most one member more than pivots have been compared in full
+    todo = written(labelled(lists.where(F.col("members") > PIVOTS + 1), labels), f"{at}/todo")
+    if not todo.isEmpty():
+        labels = _merged(labels, block_links(groups(todo, at), sets), f"{at}/blocks")
     rep = classes.select("set_a", "set_b", F.col("n").alias("n_shingles"), "node")
     found = sig.select("doc_id", "n_shingles", "set_a", "set_b").join(rep, ["set_a", "set_b", "n_shingles"], "left").join(labels, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", F.col("doc_id").cast("long"))).cast(kind)
@@ -262,7 +299,7 @@ def _merged(labels: DataFrame, links: DataFrame, at: str) -> DataFrame:
     """Labels (node, component) after further links."""
     side = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_component"))
     links = links.join(side("a"), "a", "left").join(side("b"), "b", "left")
-    edges = written(links.select(F.coalesce("a_component", "a").alias("a"), F.coalesce("b_component", "b").alias("b")).distinct(), f"{at}/links")
-    new = written(components(edges, f"{at}/stars"), f"{at}/components")
+    edges = links.select(F.coalesce("a_component", "a").alias("a"), F.coalesce("b_component", "b").alias("b"))
+    new = components(edges, f"{at}/stars")
     moved = labels.join(new.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
     return written(moved.unionByName(new.join(labels, "node", "left_anti")).distinct(), f"{at}/labels")

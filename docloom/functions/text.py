@@ -10,6 +10,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from docloom.functions import patterns as P
 
@@ -67,7 +68,7 @@ def content_hash(c, digits: int = 16) -> Column:
     return F.substring(F.sha2(F.trim(F.regexp_replace(col(c), rf"(?U){SPACE}+", " ")), 256), 1, digits)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 

@@ -29,7 +29,8 @@ def merge_groups(rows: DataFrame, keys: list[str], order: list[str], fields: dic
     names = sorted({f for fs in fields.values() for f in fs})
     item = F.struct(*(F.col(o).alias(f"o{i}") for i, o in enumerate(order)), *(F.coalesce(F.col(n), F.lit("")).alias(n) for n in names))
     grouped = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("__rows"), F.min(F.struct(*order)).alias("first_at"))
-    out = {c: merged(F.flatten(F.transform("__rows", lambda r, fs=fs: F.array(*(r[f] for f in fs)))), sep) for c, fs in fields.items()}
+    values = lambda fs: F.flatten(F.transform("__rows", lambda r: F.array(*(r[f] for f in fs))))
+    out = {c: merged(values(fs), sep) for c, fs in fields.items()}
     return grouped.select(*keys, "first_at", *(v.alias(c) for c, v in out.items()))
 
 

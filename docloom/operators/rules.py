@@ -28,19 +28,18 @@ def lines_by_family(c, families: dict[str, str], plain: tuple[str, str], default
             out = out & ~x.rlike(p)
         return out
 
-    out = {}
-    for name, pattern in families.items():
-
-        def chosen(x: Column, name=name, pattern=pattern) -> Column:
-            hit = x.rlike(pattern)
+    def chosen(name: str, pattern: str):
+        def hit(x: Column) -> Column:
+            out = x.rlike(pattern)
             if name == plain[0]:
-                hit = hit | (none(x) & x.rlike(plain[1]))
+                out = out | (none(x) & x.rlike(plain[1]))
             if name == default:
-                hit = hit | (none(x) & ~x.rlike(plain[1]))
-            return hit
+                out = out | (none(x) & ~x.rlike(plain[1]))
+            return out
+
+        return hit
 
-        out[name] = F.array_join(F.array_distinct(F.filter(lines, chosen)), "\n")
-    return out
+    return {name: F.array_join(F.array_distinct(F.filter(lines, chosen(name, pattern))), "\n") for name, pattern in families.items()}
 
 
 def split_duration(c) -> dict[str, Column]:

@@ -40,9 +40,9 @@ def final_table(rows: DataFrame, subs: DataFrame, parents: DataFrame, key: str =
             "documents": T.labelled_sections([(label, F.col(f"m_{f}")) for label, f in P.DOCUMENT_SECTIONS]),
             "expected_questions": capped_lines("m_questions"),
             "source": F.col("m_section_title"),
-            "__sub": T.sub_of("visa_code"),
+            "__sub_code": T.sub_of("visa_code"),
         }
     )
-    g = override_lookup(g, "__sub", "parent_code", subs, parents, P.FLOW)
+    g = override_lookup(g, "__sub_code", "parent_code", subs, parents, P.FLOW)
     order = F.row_number().over(Window.partitionBy("__key").orderBy("first_at"))
     return g.select(F.col("__key").alias(key), order.alias("row_no"), *(F.coalesce(F.col(c), F.lit("")).alias(c) for c in P.COLUMNS))

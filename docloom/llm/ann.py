@@ -3,8 +3,10 @@
 A vector is approximated by the sum of one codeword from each of ``BOOKS`` full-dimensional codebooks. The books are
 fitted one after the other to what the earlier ones leave, on a bounded sample (``SAMPLE`` vectors in the order of a hash).
 Encoding keeps the ``BEAM`` best partial sums at every book. With the codes goes a stored norm: the ratio
-of the vector's length to its approximation's. An inner product is then ``BOOKS`` table look-ups times that ratio;
-the ``RERANK`` best of each block are scored again, exactly, in double precision.
+of the vector's length to its approximation's, and the length of what the approximation leaves. An inner product is then ``BOOKS``
+table look-ups times that ratio, and is off by no more than the query's length times the length left (Cauchy-Schwarz). The ``RERANK``
+best of each block are scored exactly, in double precision; so is every entry whose bound reaches the least of their best ``k`` + 1.
+The result is exact whatever the data, the block size or the partitioning; only the work saved depends on how well the codes fit.
 
 Every row is indexed and every query meets every block of rows, so the work is shared out by (block of rows, block of queries);
 nothing is broadcast and no task holds more than two blocks. Equal vectors of a block are one entry, so a vector with very many
@@ -87,7 +89,7 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
 
 
 def index(rows: DataFrame, books: np.ndarray, at: str) -> DataFrame:
-    """Blocks (block, ids, first, vectors, codes, ratio): ids of equal vectors stand together."""
+    """Blocks (block, ids, first, vectors, codes, ratio, error): ids of equal vectors stand together."""
     dims = books.shape[2]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,10 +108,13 @@ def index(rows: DataFrame, books: np.ndarray, at: str) -> DataFrame:
                 approx = books[np.arange(len(books)), codes.astype(np.int64)].sum(1)
                 length = np.sqrt((approx.astype(np.float64) ** 2).sum(1))
                 ratio = (np.sqrt((x**2).sum(1)) / np.where(length > 0, length, 1)).astype(np.float32)
-                cells = [ids.astype(np.int64).tobytes(), first.astype(np.int64).tobytes(), x.tobytes(), codes.tobytes(), ratio.tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in cells], ["ids", "first", "vectors", "codes", "ratio"])
+                left = x - approx.astype(np.float64) * ratio[:, None]
+                words = np.sqrt((books.astype(np.float64) ** 2).sum(2))[np.arange(len(books)), codes.astype(np.int64)].sum(1)
+                error = np.sqrt((left**2).sum(1)) + (dims + 2 * len(books) + 8) * 2.0**-23 * words * ratio  # with the rounding of the look-ups
+                cells = [ids.astype(np.int64).tobytes(), first.astype(np.int64).tobytes(), x.tobytes(), codes.tobytes(), ratio.tobytes(), error.tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in cells], ["ids", "first", "vectors", "codes", "ratio", "error"])
 
-    blocks = rows.mapInArrow(run, "ids binary, first binary, vectors binary, codes binary, ratio binary")
+    blocks = rows.mapInArrow(run, "ids binary, first binary, vectors binary, codes binary, ratio binary, error binary")
     return written(blocks.withColumn("block", F.monotonically_increasing_id()), f"{at}/blocks")
 
 
@@ -126,32 +131,35 @@ def query_blocks(queries: DataFrame, dims: int) -> DataFrame:
     return queries.mapInArrow(run, "query_ids binary, query_vectors binary")
 
 
-def _best_of_block(q_ids, q, ids, first, x, codes, ratio, books, k):
-    """(query id, id, score) of each query's best in a block."""
+def _best_of_block(q_ids, q, ids, first, x, codes, ratio, error, books, k):
+    """(query id, id, score) of each query's best in a block, exact: an entry is left out only if its score cannot reach the block's ``k`` best."""
     tables = np.einsum("qd,bwd->bqw", q.astype(np.float32), books)
     approx = np.zeros((len(q), len(x)), np.float32)
     for b in range(len(books)):
         approx += tables[b][:, codes[:, b]]
     approx *= ratio
-    keep = min(RERANK, len(x))
-    if keep < len(x):
-        chosen = np.argpartition(approx, len(x) - keep, 1)[:, len(x) - keep :]
-    else:
-        chosen = np.broadcast_to(np.arange(len(x)), (len(q), len(x)))
-    exact = np.einsum("qd,qcd->qc", q, x[chosen])
+    depth = min(k + 1, len(x))  # one more, as one entry may be the query itself
+    keep = min(max(RERANK, depth), len(x))
+    chosen = np.argpartition(approx, len(x) - keep, 1)[:, len(x) - keep :]
+    least = np.partition(np.einsum("qd,qcd->qc", q, x[chosen]), keep - depth, 1)[:, keep - depth]
+    reach = approx + np.sqrt((q**2).sum(1))[:, None] * error
+    open_ = np.flatnonzero((~(reach < least[:, None])).any(0))  # not a number counts as open
+    scores = q @ x[open_].T
+    bar = np.partition(scores, len(open_) - depth, 1)[:, len(open_) - depth]
+    bar -= 1e-9 * np.sqrt((q**2).sum(1) * (x[open_] ** 2).sum(1).max())  # sums in another order
     out_q, out_i, out_s = [], [], []
-    order = np.argsort(-exact, 1, kind="stable")
     for r in range(len(q)):
+        c = open_[~(scores[r] < bar[r])]
+        exact = (x[c] * q[r]).sum(1)
         got_i, got_s, have = [], [], 0
-        scores = exact[r, order[r]]
-        for j, c in enumerate(chosen[r, order[r]]):
-            if have >= k and scores[j] < got_s[-1][-1]:  # ties with the last one still count
+        for j in np.argsort(-exact, kind="stable"):
+            if have >= k and exact[j] < got_s[-1][-1]:  # ties with the last one still count
                 break
-            own = ids[first[c] : first[c + 1]][: k + 1]
+            own = ids[first[c[j]] : first[c[j] + 1]][: k + 1]
             own = own[own != q_ids[r]]
             if len(own):
                 got_i.append(own)
-                got_s.append(np.full(len(own), scores[j]))
+                got_s.append(np.full(len(own), exact[j]))
                 have += len(own)
         if have:
             i, s = np.concatenate(got_i), np.concatenate(got_s)
@@ -180,7 +188,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = NEAREST) -> DataFram
     numbers = blocks.select("block").withColumn("n", F.row_number().over(Window.orderBy("block")) - 1)
     asked = usable(queries).where(F.size("v") == dims)
     spread = query_blocks(asked, dims).withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
-    pairs = spread.join(blocks.join(numbers, "block"), "n").select("query_ids", "query_vectors", "ids", "first", "vectors", "codes", "ratio")
+    pairs = spread.join(blocks.join(numbers, "block"), "n").select("query_ids", "query_vectors", "ids", "first", "vectors", "codes", "ratio", "error")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -189,8 +197,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = NEAREST) -> DataFram
                 q_ids, q = cell("query_ids", np.int64), cell("query_vectors", np.float64).reshape(-1, dims)
                 ids, first = cell("ids", np.int64), cell("first", np.int64)
                 x, codes, ratio = cell("vectors", np.float64).reshape(-1, dims), cell("codes", np.uint8).reshape(-1, len(books)), cell("ratio", np.float32)
+                error = cell("error", np.float64)
                 for a in range(0, len(q), 64):
-                    found = _best_of_block(q_ids[a : a + 64], q[a : a + 64], ids, first, x, codes, ratio, books, k)
+                    found = _best_of_block(q_ids[a : a + 64], q[a : a + 64], ids, first, x, codes, ratio, error, books, k)
                     if found[0]:
                         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in found], ["query_id", "vec_id", "score"])
 

@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from docloom.llm.ann import encode, fit_books, search
+from docloom.llm.ann import BLOCK_ROWS, encode, fit_books, search
 
 
 def test_beam_is_no_worse_than_greedy():
@@ -39,3 +39,15 @@ def test_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (20, [2.0, 1.0]), (3, [-1.0, 0.0])], "vec_id int, embedding array<double>")
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in search(df, df.where("vec_id = 0")).collect()] == [(0, 1, 20, 4.0), (0, 2, 3, -1.0)]
     assert search(df.where(F.lit(False)), df).count() == 0
+
+
+def test_recall_in_a_full_block(spark):
+    x = np.random.default_rng(5).normal(size=(BLOCK_ROWS, 64))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").coalesce(1)
+    asked = df.where("vec_id % 80 = 0")
+    got, again = ({(r.query_id, r.rank): r.vec_id for r in search(rows, asked).collect()} for rows in (df, df.repartition(7)))
+    assert got == again
+    scores = x[::80] @ x.T
+    scores[np.arange(len(scores)), np.arange(0, BLOCK_ROWS, 80)] = -np.inf
+    want = {(q * 80, n + 1): int(i) for q, row in enumerate(np.argsort(-scores, 1)[:, :20]) for n, i in enumerate(row)}
+    assert got == want

@@ -20,6 +20,7 @@ from __future__ import annotations
 import html as references
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,8 @@ BLOCK_BYTES = 4 << 20
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = set("script style noscript template textarea select option button svg math iframe object canvas audio video head title".split())
 RAW = set("script style textarea title iframe noscript".split())
+#: What can stand in a head without ending it; its end tag is optional.
+IN_HEAD = set("base basefont bgsound link meta title style script noscript noframes template head html".split())
 BLOCKS = set(
     "html body main article section div nav header footer aside form fieldset p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption address details summary dialog center hgroup menu".split()
 )
@@ -102,10 +105,20 @@ class Page:
                 hidden -= name in HIDDEN
             del stack[k:]
 
+        def leave_head(name: str):
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k][0] == "head":
+                    pop_to(k)
+                    break
+                if stack[k][0] in HIDDEN and name != "body":
+                    break  # in a template, say
+
         at, n = 0, len(html)
         while at < n:
             m = _TAG.search(html, at)
             end = m.start() if m else n
+            if hidden and stack[-1][0] == "head" and html[at:end].strip():
+                leave_head("")
             if end > at and not hidden:
                 piece = html[at:end]
                 text.append(piece)
@@ -132,6 +145,8 @@ class Page:
                     if stack[k][0] in BLOCKS and name not in BLOCKS:
                         break  # an inline end tag does not close a block
                 continue
+            if hidden and name not in IN_HEAD:
+                leave_head(name)
             node = stack[-1][1]
             if name in VOID:
                 self.inline[node] += 1
@@ -204,6 +219,7 @@ def features(page: Page) -> np.ndarray:
     children: list[list[int]] = [[] for _ in range(n)]
     for v in range(1, n):
         children[parent[v]].append(v)
+    tags_below = [Counter(page.tag[s] for s in c) for c in children]
     depth = [0] * n
     out = np.zeros((n, N_FEATURES))
     total = max(chars[0], 1)
@@ -221,7 +237,7 @@ def features(page: Page) -> np.ndarray:
             above[v] = (a or t in ("article", "main"), b or t in BAD_TAGS, c or (t == "header" and not a))
         sib = children[u] if u >= 0 else [v]
         row = out[v]
-        same = sum(page.tag[s] == page.tag[v] for s in sib) / len(sib) if len(sib) < 200 else 1.0
+        same = tags_below[u][page.tag[v]] / len(sib) if u >= 0 else 1.0
         mean = (chars[u] - own[u]) / len(sib) if u >= 0 else chars[v]
         row[:14] = (
             depth[v], np.log1p(own[v]), np.log1p(chars[v]), links[v] / max(chars[v], 1), np.log1p(tags[v]), chars[v] / tags[v], np.log1p(ps[v]), np.log1p(len(sib)),

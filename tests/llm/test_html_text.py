@@ -58,6 +58,23 @@ def test_whole_page(trees):
     assert extract([PAGE], trees) == [TEXT]
 
 
+@pytest.mark.parametrize("page", [PAGE.replace("</head>", ""), PAGE.replace("</head><body>", ""), PAGE.replace("</head>", "<template><div>Not shown.</div></template>")])
+def test_head_without_its_end_tag(trees, page):
+    assert extract([page], trees) == [TEXT]
+
+
+def test_text_and_inline_tags_end_a_head():
+    for html in ("<head><title>t</title>Some words", "<head><meta x><b>Some words</b>", "<html><head>\n<link x>\n<img>Some words"):
+        assert [t for _, t in Page(html).blocks] == ["Some words"]
+
+
+def test_share_of_same_siblings_at_every_size():
+    for n in (50, 199, 200, 700):
+        page = Page("<body>" + "<p>Words.</p>" * n + "<div>Advert</div></body>")
+        same = features(page)[:, 9]
+        assert np.isclose(same[page.tag.index("p")], n / (n + 1)) and np.isclose(same[page.tag.index("div")], 1 / (n + 1))
+
+
 @pytest.mark.parametrize("html", ["", "<", "<p", "a < b & c", "<p>" * 3000, "<div>" * 3000 + "x", "</p></div>", "<script>", '<p class="', "<a><b></a></b>", "<!-- x", "<li><li><td>", "&#0;&bogus;"])
 def test_anything_parses(trees, html):
     assert isinstance(extract([html], trees)[0], str)

@@ -292,6 +292,33 @@ def locate_best(t, spark):
     return best.select("item_id", "b.doc_id", (-F.col("b.score")).alias("hits"))
 
 
+_TIER_HITS = f"""k as materialized (select item_id, {_KEY} as k from benchmark), d as materialized (select doc_id, {_KEY} as k from documents),
+  w as (select * from (values (0, 50), (1, 30), (2, 18)) as w(tier, width)),
+  s as (select item_id, k, tier, width, unnest(range(0, len(k) - width + 1, 8)) as pos from k join w on len(k) >= width),
+  sn as materialized (select item_id, tier, pos, substr(k, pos + 1, width) as snippet from s),
+  a as materialized (select item_id, tier, doc_id, count(*) as hits, min(pos) as first_start from sn join d on contains(d.k, sn.snippet) group by 1, 2, 3),
+  v as materialized (select * from a where tier = (select min(tier) from a b where b.item_id = a.item_id))"""
+
+
+def _tier_votes(t) -> DataFrame:
+    """Votes of all widths; of each item only those of the first width with any."""
+    needles = t("benchmark").select("item_id", T.match_key("text", NOISE, None).alias("k"))
+    pages = t("documents").select(F.col("doc_id").alias("page"), T.match_key("text", NOISE, None).alias("text"))
+    hits = locate.snippet_hits(locate.needle_snippets(needles, ["item_id"], "k"), pages, [])
+    return locate.best_tier(locate.votes(hits.withColumn("start", F.col("start") * locate.STEP), ["item_id", "tier"]), ["item_id"], ["tier"])
+
+
+@query(f"with {_TIER_HITS} select item_id, tier, doc_id, hits, first_start from v")
+def snippet_vote_tiers(t, spark):
+    return _tier_votes(t).select("item_id", "tier", F.col("page").alias("doc_id"), "hits", F.col("first_start").cast("long").alias("first_start"))
+
+
+@query(f"with {_TIER_HITS} select item_id, tier, doc_id, hits from (select *, row_number() over (partition by item_id order by hits desc, doc_id, first_start) as r from v) where r = 1")
+def locate_best_tiers(t, spark):
+    best = _tier_votes(t).groupBy("item_id").agg(F.min(F.struct((-F.col("hits")).alias("score"), F.col("page").alias("doc_id"), "first_start", "tier")).alias("b"))
+    return best.select("item_id", "b.tier", "b.doc_id", (-F.col("b.score")).alias("hits"))
+
+
 @query(f"""with recursive {_HITS}, o as (select item_id, row_number() over (order by item_id) as r from benchmark),
   f as (select cast(0 as bigint) as r, cast(null as bigint) as item_id, cast(null as bigint) as page, cast(null as bigint) as previous, cast(null as bigint) as carried
     union all select o.r, o.item_id, coalesce(b.p, f.carried), f.carried, coalesce(b.p, f.carried) from f join o on o.r = f.r + 1

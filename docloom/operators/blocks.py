@@ -1,11 +1,11 @@
 """Field blocks in text to rows: delimited chunk blocks, row sections, and "- name: value" fields.
 
-Everything is a column expression or a window over a document's few markers; texts are never taken to Python.
+Everything is a column expression; texts are never taken to Python.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
@@ -19,25 +19,30 @@ FIELD = r"(?Umd)^-\s+([a-z_]+):[^\S\n]*(?:\|[^\S\n]*\n((?:    [^\n]*\n|[^\S\n]*\
 # --- end of fixed values ------------------------------------------------------------------------
 
 
-def marks(texts: DataFrame, key: str, text: str, pattern: str) -> DataFrame:
-    """(key, n, mark, start, end): every match of a pattern with its zero-based place in the text."""
-    pieces, found = F.split(F.col(text), pattern, -1), T.extract_all(text, pattern)
-    rows = texts.select(key, F.posexplode(F.arrays_zip(F.transform(pieces, F.length).alias("gap"), found.alias("mark"))).alias("n", "z"))
-    upto = Window.partitionBy(key).orderBy("n")
-    end = F.sum(F.col("z.gap") + F.coalesce(F.length("z.mark"), F.lit(0))).over(upto)
-    return rows.select(key, "n", F.col("z.mark").alias("mark"), end.alias("end")).where("mark is not null").withColumn("start", F.col("end") - F.length("mark"))
-
-
 def chunk_blocks(texts: DataFrame, key: str, text: str, opening: str = OPEN, closing: str = CLOSE) -> DataFrame:
     """(key, n, chunk_id, block_hash, start_line, end_line, body): what stands between an opening mark and the last
-    closing mark of the same id, if that comes later."""
-    group = lambda k: F.regexp_extract("mark", opening, k)
-    opens = marks(texts, key, text, opening).select(
-        key, "n", group(1).alias("chunk_id"), group(2).alias("block_hash"), group(3).cast("int").alias("start_line"), group(4).cast("int").alias("end_line"), F.col("end").alias("from")
+    closing mark of the same id, if that comes later. A text is split at its marks once, and bodies are put together from the pieces."""
+    both = f"(?:{opening})|(?:{closing})"
+    pieces = F.arrays_zip(F.split(F.col(text), both, -1).alias("piece"), T.extract_all(text, both).alias("mark"))
+
+    def cut(z: Column) -> Column:
+        opens = F.filter(F.transform(z.marks, lambda m, i: F.struct(m.alias("mark"), i.alias("at"))), lambda o: o.mark.rlike(opening))
+
+        def one(o: Column, n: Column) -> Column:
+            group = lambda k: F.regexp_extract(o.mark, opening, k)
+            back = F.array_position(z.closed, group(1)).cast("int")  # from the last mark
+            to = F.when(back > 0, F.size(z.marks) - back)
+            body = F.when(to > o["at"], F.array_join(F.slice(z.parts, 2 * o["at"] + 3, 2 * (to - o["at"]) - 1), ""))
+            return F.struct(n.alias("n"), group(1).alias("chunk_id"), group(2).alias("block_hash"), group(3).cast("int").alias("start_line"), group(4).cast("int").alias("end_line"), body.alias("body"))
+
+        return F.filter(F.transform(opens, one), lambda b: b.body.isNotNull())
+
+    known = lambda z: F.struct(
+        F.flatten(F.transform(z, lambda x: F.array(x.piece, x.mark))).alias("parts"), F.filter(F.transform(z, lambda x: x.mark), lambda m: m.isNotNull()).alias("marks")
     )
-    closes = marks(texts, key, text, closing).groupBy(key, F.regexp_extract("mark", closing, 1).alias("chunk_id")).agg(F.max("start").alias("to"))
-    placed = opens.join(closes, [key, "chunk_id"]).where("to >= from").join(texts.select(key, text), key)
-    return placed.select(key, "n", "chunk_id", "block_hash", "start_line", "end_line", F.substring(F.col(text), F.col("from").cast("int") + 1, (F.col("to") - F.col("from")).cast("int")).alias("body"))
+    ends = lambda z: F.struct(z.parts.alias("parts"), z.marks.alias("marks"), F.reverse(F.transform(z.marks, lambda m: F.regexp_extract(m, closing, 1))).alias("closed"))
+    once = F.transform(F.transform(F.transform(F.array(pieces), known), ends), cut)  # an array of one holds what is read more than once
+    return texts.select(key, F.inline(F.flatten(once)))
 
 
 def row_sections(blocks: DataFrame, body: str = "body", header: str = ROW_HEADER) -> DataFrame:

@@ -355,15 +355,18 @@ def nearest_hint(t, spark):
 
 # --- blocks -------------------------------------------------------------------------------------
 
+PARTS_A_TEXT = 100
+
 
 def part_blocks(t) -> DataFrame:
-    """Every brand's parts as one text of field blocks."""
+    """Every brand's parts as texts of field blocks, each of at most ``PARTS_A_TEXT`` successive keys."""
     pair = lambda n, v: F.struct(F.lit(n).alias("name"), v.alias("value"))
     fields = F.array(pair("item_name", F.col("p_name")), pair("item_type", F.concat("p_type", F.lit("\n"), "p_name")), pair("size", F.col("p_size").cast("string")))
     one = F.struct(
         F.format_string("part_%d", "p_partkey").alias("chunk_id"), F.substring(F.sha2("p_name", 256), 1, 16).alias("hash"), F.col("p_partkey").cast("int").alias("start"), (F.col("p_partkey") + F.col("p_size")).cast("int").alias("end"), fields.alias("fields")
     )
-    return t("part").groupBy("p_brand").agg(F.sort_array(F.collect_list(one)).alias("rows")).select("p_brand", blocks.rendered(F.col("rows")).alias("text"))
+    keys = F.floor(F.col("p_partkey") / PARTS_A_TEXT)
+    return t("part").groupBy("p_brand", keys.alias("nth")).agg(F.sort_array(F.collect_list(one)).alias("rows")).select("p_brand", blocks.rendered(F.col("rows")).alias("text"))
 
 
 @query("""select p_brand, 'part_' || p_partkey as chunk_id, substr(sha256(p_name), 1, 16) as block_hash, p_partkey as start_line, p_partkey + p_size as end_line,

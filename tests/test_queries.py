@@ -2,6 +2,7 @@
 
 import random
 
+from docloom.operators import blocks
 from docloom.plans import queries
 
 
@@ -29,3 +30,23 @@ def test_narrower_widths_find_pages(spark, tmp_path):
     assert {(x.item_id, x.tier, x.doc_id): (x.hits, x.first_start) for x in run("snippet_vote_tiers").collect()} == want
     best = {x.item_id: (x.tier, x.doc_id) for x in run("locate_best_tiers").collect()}
     assert best == {1: (0, 10), 2: (1, 10), 3: (2, 11), 4: (2, 10), 7: (0, 11)}
+
+
+def test_block_texts_stay_small(spark, tmp_path):
+    parts = [(i, f"name {i}", "Brand#1", "SMALL", i % 50) for i in range(4000)]
+    run = frames(spark, tmp_path, part=(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int"))
+    texts = queries.part_blocks(lambda name: queries.table(spark, str(tmp_path), name))
+    assert max(r.text.count("### row") for r in texts.collect()) <= 100
+    out = run("block_roundtrip")
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {(r.chunk_id, r.start_line, r.end_line, r.row_index, r.item_name, r.item_type, r.size) for r in out.collect()}
+    assert out.count() == 4000 and got == {(f"part_{i}", i, i + i % 50, 1, f"name {i}", f"SMALL\nname {i}", str(i % 50)) for i in range(4000)}
+
+
+def test_blocks_hold_blocks(spark):
+    mark = lambda k: f"<!-- x v1 chunk: {k} hash: h lines: 1-2 -->"
+    end = lambda k: f"<!-- end chunk: {k} -->"
+    inner = f" b {mark('b')} c {end('b')} {end('a')} d "
+    text = f"0 {end('z')}{mark('a')}{inner}{end('a')} e {mark('z')} f"
+    got = {(r.n, r.chunk_id, r.body) for r in blocks.chunk_blocks(spark.createDataFrame([("k", text), ("l", ""), ("m", None)], "k string, t string"), "k", "t").collect()}
+    assert got == {(0, "a", inner), (1, "b", " c ")}

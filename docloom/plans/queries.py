@@ -153,7 +153,9 @@ def json_parse_props(t, spark):
   when regexp_matches(text, '[^ -~\\s]') then 'accents' else 'plain' end as route, count(*) over (partition by lang) as n_lang from documents""")
 def first_match_route(t, spark):
     route = rules.first_match("text", [("numbers", "[0-9]{6,}"), ("license", "[Ll]icen[cs]e"), ("accents", r"[^ -~\s]")], "plain")
-    return t("documents").withColumn("n_lang", F.count("*").over(Window.partitionBy("lang"))).select("doc_id", route.alias("route"), "n_lang")
+    counts = t("documents").groupBy("lang").agg(F.count("*").alias("n_lang")).withColumnRenamed("lang", "of")  # texts are not shuffled
+    routed = t("documents").select("doc_id", "lang", route.alias("route"))
+    return routed.join(counts, F.col("lang").eqNullSafe(F.col("of"))).select("doc_id", "route", "n_lang")
 
 
 _FAMILY = """(select doc_id, coalesce(string_agg(s, chr(10) order by i), '') as v from (select doc_id, s, min(i) as i from hit where {} group by 1, 2) group by 1)"""

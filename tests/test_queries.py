@@ -50,3 +50,10 @@ def test_blocks_hold_blocks(spark):
     text = f"0 {end('z')}{mark('a')}{inner}{end('a')} e {mark('z')} f"
     got = {(r.n, r.chunk_id, r.body) for r in blocks.chunk_blocks(spark.createDataFrame([("k", text), ("l", ""), ("m", None)], "k string, t string"), "k", "t").collect()}
     assert got == {(0, "a", inner), (1, "b", " c ")}
+
+
+def test_routes_count_languages_without_windows(spark, tmp_path):
+    docs = [(1, "a 123456", "en"), (2, "license", "en"), (3, "plain", None), (4, "x", None), (5, "caf\u00e9", "fr")]
+    out = frames(spark, tmp_path, documents=(docs, "doc_id int, text string, lang string"))("first_match_route")
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in out.collect()} == {(1, "numbers", 2), (2, "license", 2), (3, "plain", 2), (4, "plain", 2), (5, "accents", 1)}

@@ -9,8 +9,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-DEFAULT_SHARED_DIR = "/tmp/docloom-shared"  # only where the session names none (tests)
+LOCAL_SHARED_DIR = "/tmp/docloom-shared"  # local masters only (tests): driver and executors are one process there
+HEAVY = 200  # a key counts as heavy from one part in so many of all rows, so there are at most so many of them
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,9 +20,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_SHARED_DIR
-    return f"{base.rstrip('/')}/docloom-{uuid.uuid4().hex}"
+    """A fresh folder, with its scheme, below the checkpoint folder that driver and executors share. On a cluster that names none this fails."""
+    named = spark.sparkContext._jsc.sc().getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or (named.get() if named.isDefined() else None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = LOCAL_SHARED_DIR
+    return qualified(spark, f"{base.rstrip('/')}/docloom-{uuid.uuid4().hex}")
+
+
+def qualified(spark: SparkSession, at: str) -> str:
+    """A path with the scheme and authority that Spark's own readers and writers give it."""
+    path = _path(spark, at)
+    return _filesystem(spark, path).makeQualified(path).toString()
+
+
+def _path(spark: SparkSession, at: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(at)
+
+
+def _filesystem(spark: SparkSession, path):
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete tables in the shared folder that no result reads any more."""
+    for at in paths:
+        path = _path(spark, at)
+        _filesystem(spark, path).delete(path, True)
 
 
 def written(df: DataFrame, at: str) -> DataFrame:
@@ -30,6 +58,45 @@ def written(df: DataFrame, at: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
+def versions(spark: SparkSession, at: str) -> list[int]:
+    """The numbers that name the finished tables in a folder; none without the folder."""
+    path = _path(spark, at)
+    fs = _filesystem(spark, path)
+    if not fs.exists(path):
+        return []
+    found = [s.getPath() for s in fs.listStatus(path)]
+    return [int(p.getName()) for p in found if p.getName().isdigit() and fs.exists(_path(spark, f"{p.toString()}/_SUCCESS"))]
+
+
+def spread_join(rows: DataFrame, facts: DataFrame, keys: list[str], weight: str, by: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``facts``, a written table with one row per ``keys`` whose ``weight`` says how many rows have them.
+
+    Keys that hold more than one part in ``HEAVY`` of all rows are at most ``HEAVY`` facts, whatever the data, and are broadcast; their
+    rows are then dealt out by the hash of ``by`` and meet nothing in the shuffled join, which serves all other keys. Null keys meet nothing.
+    """
+    total = facts.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    heavy = F.coalesce(F.col(weight) * HEAVY > F.lit(total), F.lit(False))
+    fields = [c for c in facts.columns if c not in keys]
+    named = [f"{c}__f" for c in keys]
+    light = facts.where(~heavy).select(*(F.col(c).alias(n) for c, n in zip(keys, named)), F.struct(*fields).alias("__light"), F.lit(0).cast("long").alias("__none"))
+    big = facts.where(heavy).select(*(F.col(c).alias(n) for c, n in zip(keys, named)), F.struct(*fields).alias("__heavy"))
+    same = lambda side: [side[n] == F.col(c) for c, n in zip(keys, named)]
+    known = rows.join(F.broadcast(big), _all(same(big)), "left").drop(*named)  # at most HEAVY rows
+    lone = F.when(F.col("__heavy").isNotNull() | ~_all([F.col(c).isNotNull() for c in keys]), F.xxhash64(F.lit(5), *by).bitwiseOR(F.lit(1))).otherwise(F.lit(0))
+    known = known.withColumn("__lone", lone.cast("long"))
+    both = known.join(light, _all([*same(light), light["__none"] == F.col("__lone")]), "left").withColumn("__fact", F.coalesce("__heavy", "__light"))
+    if how == "inner":
+        both = both.where(F.col("__fact").isNotNull())
+    return both.select(*rows.columns, *(F.col("__fact")[c].alias(c) for c in fields))
+
+
+def _all(conditions: list):
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out & c
+    return out
+
+
 def release(spark: SparkSession) -> None:
     """Let go of finished steps: Spark deletes a shuffle's files once the driver has collected the
     frames that made it, which else happens rarely."""
@@ -142,7 +209,7 @@ class Words:
         if size > 8:
             at = np.arange(m)
             return self.spans(at, at + size, seed), self.whole(size)
-        k = np.uint64(2 * seed + 1) * _BASE | np.uint64(1)
+        k = np.uint64(((2 * seed + 1) * int(_BASE) | 1) % (1 << 64))
         out = np.zeros(m, np.uint64)
         for i in range(size):
             out *= k

@@ -3,18 +3,21 @@
 1. Rows are dealt to source blocks by a hash of the document.
 2. One small matrix says how many rows each source block sends to each shard: it is drawn from the
    multivariate hypergeometric law with the blocks' and the shards' sizes as margins, so it has the
-   law of a uniformly random permutation. Only the blocks' counts (``blocks`` numbers) meet on the
-   driver, however many rows there are.
+   law of a uniformly random permutation. Only the blocks' counts meet on the driver: one number for
+   each ``BLOCK_ROWS`` rows.
 3. Each block permutes its rows and sends consecutive runs to the shards; each shard permutes what
    it received. Both permutations are sorts by a keyed hash of stored columns,
    so a lost executor's work is recomputed alike.
 
 The row path holds DataFrame functions only. Null texts count as empty; a null ``doc_id`` is
-hashed like any value; rows that repeat are told apart by their place in the input; extra columns are left behind; an empty table gives an empty result.
+hashed like any value; rows that repeat are told apart by their place in the input; very long texts are measured whole
+(only their size and checksum travel); extra columns are left behind, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,8 +26,9 @@ from docloom.llm._common import shared_dir, written
 
 N_SHARDS = 40
 OVERHEAD = 16
-BLOCKS = 256
-CELLS = 64
+LEAST_BLOCKS = 64
+BLOCK_ROWS = 1 << 20  # rows that one task permutes, on average
+REACH = 14
 
 
 def shard_sizes(n: int, shards: int) -> list[int]:
@@ -40,50 +44,50 @@ def communication_matrix(block_rows: list[int], shard_rows: list[int], seed: int
     for i, n in enumerate(block_rows):
         left = n
         rest = int(need.sum())
-        for j, want in enumerate(need):  # univariate draws: the library's multivariate one has a size limit
+        for j, want in enumerate(need):
             want = int(want)
             rest -= want
             if left == 0:
                 break
-            got = _hypergeometric(rng, want, rest, left)
+            got = hypergeometric(rng, want, rest, left)
             out[i, j] = got
             left -= got
         need -= out[i]
     return out
 
 
-def _hypergeometric(rng, good: int, bad: int, drawn: int) -> int:
-    """Hypergeometric draw; beyond the generator's limit of 1e9 items it is drawn in halves."""
-    if good == 0:
-        return 0
-    if bad == 0:
-        return drawn
-    if good + bad < 10**9:
-        return int(rng.hypergeometric(good, bad, drawn))
-    # split the drawn items at random between two halves of the population, then draw in each
-    half_good, half_bad = good // 2, bad // 2
-    if half_good + half_bad == 0:
-        return int(rng.hypergeometric(good, bad, drawn))
-    first = _hypergeometric_normal(rng, half_good + half_bad, good + bad - half_good - half_bad, drawn)
-    return _hypergeometric(rng, half_good, half_bad, first) + _hypergeometric(rng, good - half_good, bad - half_bad, drawn - first)
-
-
-def _hypergeometric_normal(rng, good: int, bad: int, drawn: int) -> int:
-    """Rounded normal draw with the exact mean and variance; its error vanishes at such sizes."""
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, drawn: int) -> int:
+    """How many of ``drawn`` items are good: the inverse of the distribution function, the same way at every size.
+
+    The probabilities come from the ratios of neighbours, outwards from the mode. They are left out only where they are
+    below a double's resolution: from ``REACH`` standard deviations on, a tail has less than exp(-REACH ** 2 / 3) of the whole (Hoeffding, Serfling).
+    """
+    least, most = max(0, drawn - bad), min(good, drawn)
+    if least == most:
+        return least
     n = good + bad
-    mean = drawn * good / n
-    sd = (mean * bad / n * (n - drawn) / max(n - 1, 1)) ** 0.5
-    return int(min(max(round(rng.normal(mean, sd)), drawn - bad, 0), drawn, good))
+    mode = min(max((drawn + 1) * (good + 1) // (n + 2), least), most)
+    sd = math.sqrt(drawn * (good / n) * (bad / n) * ((n - drawn) / max(n - 1, 1)))
+    reach = int(REACH * sd) + 64
+    up = np.arange(mode, min(most, mode + reach), dtype=np.float64)  # from k to k + 1
+    down = np.arange(mode, max(least, mode - reach), -1, dtype=np.float64)  # from k to k - 1
+    above = np.cumprod((good - up) * (drawn - up) / ((up + 1) * (bad - drawn + up + 1)))
+    below = np.cumprod(down * (bad - drawn + down) / ((good - down + 1) * (drawn - down + 1)))
+    weights = np.concatenate([below[::-1], [1.0], above])
+    total = np.cumsum(weights)
+    at = int(np.searchsorted(total, rng.random() * total[-1], "right"))
+    return mode - len(below) + min(at, len(weights) - 1)
 
 
 def shard_rows(
     docs: DataFrame,
     n_shards: int = N_SHARDS,
     seed: int = 20_24,
-    blocks: int = BLOCKS,
-    cells: int = CELLS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """(doc_id, size, text_crc32, law, shard, slot, grown_shard) under the law ``rows``."""
+    """(doc_id, size, text_crc32, law, shard, slot, grown_shard) under the law ``rows``.
+
+    Blocks and cells (parts of a shard) are as many as keep one task's rows near ``block_rows``."""
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
     narrow = docs.select(
@@ -92,10 +96,11 @@ def shard_rows(
     key = lambda salt: F.xxhash64(F.lit(seed), F.lit(salt), "doc_id", "size", "text_crc32")
     # the row's place in the input tells repeated rows apart, so that a hot group of them spreads over all blocks
     at = shared_dir(spark)
-    rows = written(
-        narrow.withColumn("copy", F.monotonically_increasing_id()).withColumn("block", F.pmod(F.xxhash64(key("deal"), "copy"), F.lit(blocks)).cast("int")),
-        f"{at}/rows",
-    )
+    dealt = written(narrow.withColumn("copy", F.monotonically_increasing_id()), f"{at}/rows")
+    n = dealt.count()
+    blocks = max(LEAST_BLOCKS, -(-n // block_rows))
+    cells = max(1, -(-n // (n_shards * block_rows)))
+    rows = dealt.withColumn("block", F.pmod(F.xxhash64(key("deal"), "copy"), F.lit(blocks)).cast("int"))
     counts = {r["block"]: r["n"] for r in rows.groupBy("block").agg(F.count("*").alias("n")).collect()}
     per_block = [counts.get(i, 0) for i in range(blocks)]
     matrix = communication_matrix(per_block, shard_sizes(sum(per_block), n_shards), seed)
@@ -105,7 +110,7 @@ def shard_rows(
     local = Window.partitionBy("block").orderBy(F.xxhash64(key("local"), "copy"), "doc_id", "size", "text_crc32", "copy")
     sent = (
         rows.withColumn("rank", F.row_number().over(local) - 1)
-        .join(F.broadcast(sends), "block")  # `blocks` rows
+        .join(sends, "block")  # one row per block: the planner broadcasts it while it is small
         .withColumn("shard", F.size(F.filter("upto", lambda x: x <= F.col("rank"))).cast("int"))
         .withColumn("cell", F.pmod(F.xxhash64(key("arrive"), "copy"), F.lit(cells)).cast("int"))
         .select("doc_id", "size", "text_crc32", "copy", "shard", "cell")
@@ -119,7 +124,7 @@ def shard_rows(
     inside = Window.partitionBy("shard", "cell").orderBy(F.xxhash64(key("permute"), "copy"), "doc_id", "size", "text_crc32", "copy")
     return (
         sent.withColumn("at", F.row_number().over(inside) - 1)
-        .join(F.broadcast(offsets), ["shard", "cell"])  # n_shards * cells rows at most
+        .join(offsets, ["shard", "cell"])
         .select(
             "doc_id",
             "size",

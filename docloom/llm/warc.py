@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm._common import shared_dir, written
+from docloom.llm._common import qualified, shared_dir, spread_join, written
 
 MIN_REVISIT = 1000
 ARCHIVE_BYTES = 256 << 20
@@ -39,11 +39,11 @@ _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  #
 
 
 def filesystem(uri: str):
-    """(pyarrow file system, path) of a folder that driver and executors share."""
+    """(pyarrow file system, path) of a folder named with its scheme; the scheme is the one that Spark's own tables have there."""
     from pyarrow import fs
 
     if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri
+        raise ValueError(f"{uri} names no file system")
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
     return fs.FileSystem.from_uri(uri)
@@ -90,17 +90,29 @@ def gzip_member(data: bytes) -> bytes:
     return z.compress(data) + z.flush()
 
 
-def with_originals(pages: DataFrame, least: int = MIN_REVISIT) -> DataFrame:
-    """(page_id, url, html, refers_to, revisit)."""
+def with_originals(pages: DataFrame, at: str, least: int = MIN_REVISIT) -> DataFrame:
+    """(page_id, url, html, refers_to, revisit).
+
+    Which payloads repeat is found on digests alone; pages are then joined by id and digest, so neither a page served very often nor the many
+    empty ones meet in one task."""
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    rows = pages.select("page_id", F.col("url").cast("string").alias("url"), html.alias("html"), F.sha1(html.cast("binary")).alias("digest"), F.octet_length(html).alias("bytes"))
-    first = rows.where(F.col("bytes") >= least).groupBy("digest").agg(F.max("page_id").alias("original"), F.count("*").alias("n")).where("n > 1").select("digest", "original")
-    revisit = F.col("original").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") != F.col("original")))
-    return rows.join(first, "digest", "left").select("page_id", "url", "html", F.when(revisit, F.col("original")).alias("refers_to"), F.coalesce(revisit, F.lit(False)).alias("revisit"))
+    rows = pages.select("page_id", F.col("url").cast("string").alias("url"), html.alias("html"), F.sha1(html.cast("binary")).alias("digest"))
+    narrow = rows.where(F.octet_length("html") >= least).groupBy("page_id", "digest").agg(F.count("*").alias("n"))
+    narrow = written(narrow, f"{at}/digests")
+    groups = narrow.groupBy("digest").agg(F.max("page_id").alias("original"), F.sum("n").alias("n")).where("n > 1")
+    found = spread_join(narrow.select("page_id", "digest"), written(groups, f"{at}/repeated"), ["digest"], "n", ["page_id"])
+    revisits = found.where("original is not null and (page_id is null or page_id <> original)").select("page_id", "digest", "original")
+    mark = F.xxhash64("url").bitwiseOR(F.lit(1)).cast("long")  # rows that have no revisit are dealt by more than their id
+    small = F.octet_length("html") < least
+    side = revisits.select(F.col("page_id").alias("__page"), F.col("digest").alias("__digest"), "original", F.lit(0).cast("long").alias("__large"))
+    rows = rows.withColumn("__lone", F.when(small, mark).otherwise(F.lit(0)).cast("long"))
+    joined = rows.join(side, rows.page_id.eqNullSafe(side["__page"]) & (rows.digest == side["__digest"]) & (rows["__lone"] == side["__large"]), "left")
+    return joined.select("page_id", "url", "html", F.col("original").alias("refers_to"), F.col("original").isNotNull().alias("revisit"))
 
 
 def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Writes the archives below ``folder``; gives the manifest (archive, records, bytes)."""
+    folder = qualified(pages.sparkSession, folder)
     fs, path = filesystem(folder)
     fs.create_dir(f"{path}/archives")
 
@@ -115,15 +127,15 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
             nonlocal out, size, n
             if out is not None:
                 out.close()
-                made.append((name, n, size))
+                made.append((f"{folder}/{name}", n, size))
             out, size, n = None, 0, 0
 
         for part in parts:
             ids, refs, revisit = (part.column(c).to_pylist() for c in (0, 3, 4))
             for k, (i, url, html) in enumerate(zip(ids, part.column(1), part.column(2))):
                 if out is None:
-                    name = f"{path}/archives/part-{task.partitionId():06d}-{task.taskAttemptId()}-{len(made):04d}.warc.gz"
-                    out = fs.open_output_stream(name, compression=None)
+                    name = f"archives/part-{task.partitionId():06d}-{task.taskAttemptId()}-{len(made):04d}.warc.gz"
+                    out = fs.open_output_stream(f"{path}/{name}", compression=None)
                 member = gzip_member(record(i, url.as_py(), html.as_buffer().to_pybytes(), refs[k], revisit[k]))
                 out.write(member)
                 size, n = size + len(member), n + 1
@@ -132,7 +144,7 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
         close()
         yield pa.RecordBatch.from_pydict({"archive": pa.array([m[0] for m in made], pa.string()), "records": pa.array([m[1] for m in made], pa.int64()), "bytes": pa.array([m[2] for m in made], pa.int64())})
 
-    rows = with_originals(pages).select("page_id", "url", "html", "refers_to", "revisit")
+    rows = with_originals(pages, folder)
     return written(rows.mapInArrow(run, "archive string, records long, bytes long"), f"{folder}/manifest")
 
 

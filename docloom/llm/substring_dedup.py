@@ -5,9 +5,10 @@ A window is ``WINDOW`` consecutive words. Each window has an anchor, the least h
 segments (anchor, position, number of windows) about a twentieth as many as its windows. Equal
 windows have equal anchors.
 
-* The index holds sorted immutable runs of segments: per (anchor, segment hash) the earliest document.
-  Runs are bucketed and sorted by anchor, so a new batch is merge-joined with each run without
-  shuffling the run. Batches come in the order of ``doc_id``. ``TIER`` runs are compacted into one.
+* The index holds sorted immutable runs: per (anchor, segment hash) the earliest document, and per anchor
+  a summary. Summaries are bucketed and sorted by anchor, so a new batch is merge-joined with each run without
+  shuffling the run. Batches come in the order of ``doc_id``; more than ``TIER`` runs are compacted into one. The index
+  can be opened again from its folder, and later batches go on from there.
 * The merge join tells which anchors a batch shares with history or within itself. A segment that
   equals an earlier document's (two 64-bit hashes of all its words) is removed whole.
 * Anchors that occur in different segments are verified window by window: the texts are read again, and only
@@ -15,7 +16,7 @@ windows have equal anchors.
 
 Rows: null texts have no words; rows that repeat a ``doc_id`` are not "earlier" than one another; a null
 ``doc_id`` neither loses words nor takes any; other columns are left behind (``cut_documents``
-keeps them). An empty table gives an empty result.
+keeps them, whatever their names). Very long texts are worked on whole, in blocks. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,8 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from docloom.llm._common import Words, by_bytes, release, shared_dir, text_buffer, written
+from docloom.llm._common import Words, by_bytes, discard, qualified, release, shared_dir, spread_join, text_buffer, versions, written
 
 WINDOW = 50
 GRAM = 8
@@ -98,80 +100,104 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 class FingerprintIndex:
-    """Sorted immutable runs of segments; ``add`` merge-joins a batch with them and appends a run."""
+    """Sorted immutable runs of segments below a folder; ``add`` merge-joins a batch with them and appends a run.
 
-    def __init__(self, spark: SparkSession, buckets: int | None = None, tier: int = TIER):
-        self.spark, self.tier = spark, tier
+    A run is two tables. ``anchors`` has one row per anchor (least and greatest document, number of different segments) and is
+    bucketed and sorted by anchor, so batches are merge-joined without shuffling history, and however many segments stand under one anchor
+    it stays one row. ``segments`` has one row per (anchor, segment hash) with its earliest document. A manifest names the
+    runs that count; opening the folder again goes on from there. ``close`` forgets the catalog's names and keeps the files.
+    """
+
+    def __init__(self, spark: SparkSession, at: str | None = None, buckets: int | None = None, tier: int = TIER):
+        self.spark, self.tier, self.at = spark, tier, qualified(spark, at) if at else shared_dir(spark)
+        self.name = f"anchors_{uuid.uuid4().hex[:12]}"
         self.buckets = buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        self.at, self.name = shared_dir(spark), f"segments_{uuid.uuid4().hex[:12]}"
-        self.runs: list[str] = []
+        self.runs: list[int] = []
         self.made = 0
+        self.version = 0
+        old = versions(spark, f"{self.at}/manifest")
+        if old:
+            self.version = max(old)
+            state = spark.read.parquet(f"{self.at}/manifest/{self.version}").collect()  # one row per run, TIER at most
+            self.buckets = state[0].buckets
+            for r in sorted(state, key=lambda r: r.run):
+                self.runs.append(r.run)
+                self._register(r.run)
+            self.made = self.runs[-1]
+
+    def _register(self, run: int) -> None:
+        self.spark.sql(
+            f"CREATE TABLE {self.name}_{run} (anchor BIGINT, low BIGINT, high BIGINT, last_first BIGINT, n BIGINT) USING parquet OPTIONS (path '{self.at}/anchors{run}') CLUSTERED BY (anchor) SORTED BY (anchor) INTO {self.buckets} BUCKETS"
+        )
+
+    def _commit(self) -> None:
+        """The manifest is written as a whole under a new number, so a reader sees the old runs or the new ones."""
+        rows = [(r, self.buckets) for r in self.runs]
+        self.spark.createDataFrame(rows, "run int, buckets int").coalesce(1).write.parquet(f"{self.at}/manifest/{self.version + 1}")
+        self.version += 1
 
-    def _write(self, rows: DataFrame) -> str:
+    def _write(self, segments: DataFrame) -> int:
         self.made += 1
-        name = f"{self.name}_{self.made}"
+        run = self.made
+        rows = written(segments.groupBy("anchor", "seg_a", "seg_b").agg(F.min("first").alias("first"), F.max("last_doc").alias("last_doc"), F.sum("docs").alias("docs")), f"{self.at}/segments{run}")
+        release(self.spark)
         (
-            rows.repartition(self.buckets, "anchor")
+            rows.groupBy("anchor")
+            .agg(F.min("first.doc_id").alias("low"), F.max("last_doc").alias("high"), F.max("first.doc_id").alias("last_first"), F.count("*").alias("n"))
+            .repartition(self.buckets, "anchor")
             .sortWithinPartitions("anchor")
             .write.bucketBy(self.buckets, "anchor")
             .sortBy("anchor")
-            .option("path", f"{self.at}/run{self.made}")
+            .option("path", f"{self.at}/anchors{run}")
             .option("compression", "zstd")
-            .saveAsTable(name)
+            .saveAsTable(f"{self.name}_{run}")
         )
-        return name
+        return run
 
-    def _path(self, name: str) -> str:
-        return f"{self.at}/run{name.rsplit('_', 1)[1]}"
+    def _anchors(self, run: int) -> DataFrame:
+        return self.spark.table(f"{self.name}_{run}")
 
-    def _run(self, name: str) -> DataFrame:
-        return self.spark.table(name)
+    def _segments(self, runs: list[int]) -> DataFrame:
+        return self.spark.read.parquet(*[f"{self.at}/segments{r}" for r in runs])
 
     def add(self, segments: DataFrame) -> DataFrame:
         """segments (anchor, seg_a, seg_b, doc_id, text_key, at, windows) of a batch -> its anchors that another
         document shares, in the batch or in history. Then the batch is part of the index."""
-        new = self._write(
-            segments.groupBy("anchor", "seg_a", "seg_b").agg(F.min(F.struct("doc_id", "text_key", "at", "windows")).alias("first"), F.max("doc_id").alias("last_doc"))
-            .select("anchor", "seg_a", "seg_b", "first.*", "last_doc")
-        )
-        rows = self._run(new)
-        within = rows.groupBy("anchor").agg(F.min("doc_id").alias("x"), F.max("last_doc").alias("y")).where("x <> y").select("anchor")
-        found = [written(within, f"{self.at}/shared{self.made}-0")]
-        for k, old in enumerate(self.runs, 1):
-            both = rows.select("anchor").join(self._run(old).hint("merge"), "anchor", "left_semi")
-            found.append(written(both, f"{self.at}/shared{self.made}-{k}"))
-        shared = found[0]
-        for x in found[1:]:
-            shared = shared.unionByName(x)
+        place = F.struct("doc_id", "text_key", "at", "windows")
+        new = self._write(segments.select("anchor", "seg_a", "seg_b", place.alias("first"), F.col("doc_id").alias("last_doc"), F.lit(1).cast("long").alias("docs")))
+        own = self._anchors(new)
+        shared = written(own.where("low <> high").select("anchor"), f"{self.at}/shared{new}-0")
+        for old in self.runs:
+            past = self._anchors(old).select("anchor", F.col("low").alias("past_low"), F.col("high").alias("past_high"))
+            both = own.join(past.hint("merge"), "anchor").where("least(low, past_low) <> greatest(high, past_high)").select("anchor")
+            shared = shared.unionByName(written(both, f"{self.at}/shared{new}-{old}"))
         self.runs.append(new)
         if len(self.runs) > self.tier:
             self.compact()
+        else:
+            self._commit()
         return shared.distinct()
 
     def compact(self) -> None:
         """Merge all runs into one; the earliest document of each segment stays."""
         if len(self.runs) < 2:
             return
-        # read by path: Spark 4.1 loses the buckets of a union of bucketed tables after it has planned with them
-        both = self.spark.read.schema(self._run(self.runs[0]).schema).parquet(*[self._path(name) for name in self.runs])
-        merged = self._write(
-            both.groupBy("anchor", "seg_a", "seg_b").agg(F.min(F.struct("doc_id", "text_key", "at", "windows")).alias("first"), F.max("last_doc").alias("last_doc"))
-            .select("anchor", "seg_a", "seg_b", "first.*", "last_doc")
-        )
-        for name in self.runs:
-            self._drop(name)
+        gone, merged = self.runs, self._write(self._segments(self.runs))
         self.runs = [merged]
+        self._commit()
+        for run in gone:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_{run}")
+            discard(self.spark, f"{self.at}/anchors{run}", f"{self.at}/segments{run}")
         release(self.spark)
 
-    def _drop(self, name: str) -> None:
-        """Forget a run and delete its files, which the merged run replaces."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(name))
-        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
-    def rows(self) -> DataFrame:
+    def rows(self) -> tuple[DataFrame, DataFrame]:
+        """(segments, anchors), each key once."""
         self.compact()
-        return self._run(self.runs[0])
+        return self._segments(self.runs), self._anchors(self.runs[0])
+
+    def close(self) -> None:
+        for run in self.runs:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_{run}")
 
 
 def window_hashes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -210,7 +236,7 @@ def repeated_ranges(docs: DataFrame, batches: int = BATCHES) -> tuple[DataFrame,
     table = written(documents_segments(docs), f"{at}/segments")
     segments = table.where("doc_id is not null").select("doc_id", "text_key", F.explode("segments").alias("s")).select("doc_id", "text_key", "s.*")
     cuts = sorted(set(table.where("doc_id is not null").approxQuantile("doc_id", [k / batches for k in range(1, batches)], 0.01))) if batches > 1 else []
-    index, shared = FingerprintIndex(spark), None
+    index, shared = FingerprintIndex(spark, f"{at}/index"), None
     bounds = [None, *cuts, None]
     for lo, hi in zip(bounds, bounds[1:]):  # a fixed number of batches
         batch = segments
@@ -221,21 +247,29 @@ def repeated_ranges(docs: DataFrame, batches: int = BATCHES) -> tuple[DataFrame,
         found = index.add(batch)
         shared = found if shared is None else shared.unionByName(found)
         release(spark)
-    first = index.rows().join(shared.distinct(), "anchor", "left_semi")
-    mixed = F.count("*") > 1
-    mixed = first.groupBy("anchor").agg((mixed & (F.min("doc_id") != F.max("doc_id"))).alias("mixed"))
-    first = written(first.join(mixed, "anchor").select("anchor", "seg_a", "seg_b", F.col("doc_id").alias("first_doc"), "mixed"), f"{at}/first")
+    known, anchors = index.rows()
+    # an anchor of several segments that do not all start in one document needs its windows compared
+    facts = anchors.join(shared.distinct(), "anchor", "left_semi").select("anchor", "n", ((F.col("n") > 1) & (F.col("low") != F.col("last_first"))).alias("mixed"))
+    facts = written(facts, f"{at}/facts")
+    first = spread_join(known, facts, ["anchor"], "n", ["seg_a"]).select("anchor", "seg_a", "seg_b", F.col("first.doc_id").alias("first_doc"), "docs", "mixed")
+    first = written(first, f"{at}/first")
+    index.close()
+    discard(spark, f"{at}/index", f"{at}/facts")
+    release(spark)
     # a segment that equals an earlier document's goes whole; where its anchor also stands in other
     # segments, those of the earliest document itself are compared window by window
-    hits = segments.join(first, ["anchor", "seg_a", "seg_b"]).where("doc_id > first_doc or mixed")
+    hits = spread_join(segments, first, ["anchor", "seg_a", "seg_b"], "docs", ["doc_id", "at"]).where("doc_id > first_doc or mixed")
     hits = written(hits.select("doc_id", "text_key", "at", "windows", (F.col("doc_id") > F.col("first_doc")).alias("whole")), f"{at}/hits")
+    discard(spark, f"{at}/first")
     release(spark)
     windows = written(window_hashes(docs, hits.where(~F.col("whole"))), f"{at}/windows")
     release(spark)
-    before = windows.groupBy("hash_a", "hash_b").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).where("first_doc <> last_doc")
-    single = windows.join(before, ["hash_a", "hash_b"]).where("doc_id > first_doc").select("doc_id", "text_key", "at", F.lit(1).alias("windows"))
+    before = windows.groupBy("hash_a", "hash_b").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), F.count("*").alias("n")).where("first_doc <> last_doc").drop("last_doc")
+    before = written(before, f"{at}/before")
+    single = spread_join(windows, before, ["hash_a", "hash_b"], "n", ["doc_id", "at"]).where("doc_id > first_doc").select("doc_id", "text_key", "at", F.lit(1).alias("windows"))
     ranges = hits.where("whole").drop("whole").unionByName(single).groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "windows")).alias("ranges"))
     ranges = written(ranges, f"{at}/ranges")
+    discard(spark, f"{at}/windows", f"{at}/before", f"{at}/hits")
     release(spark)
     return table, ranges
 
@@ -284,21 +318,20 @@ def dedup_report(docs: DataFrame) -> DataFrame:
 
 def cut_documents(docs: DataFrame) -> DataFrame:
     """The documents with repeated passages removed: changed texts are their kept words joined by one
-    space, documents of which nothing is left go, all others and all columns stay as they are."""
+    space (with n_chars to match), documents of which nothing is left go, all others and all columns stay as they are."""
     _, ranges = repeated_ranges(docs)
-    names, schema = docs.columns, docs.schema
-    rows = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__key": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    side = ranges.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("ranges").alias("__ranges"))
-    joined = rows.join(side, ["__id", "__key"], "left").select(*names, "__ranges")
-    at = names.index("text")
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"), text.alias("text"), F.struct(*docs.columns).alias("row"))
+    joined = rows.join(ranges, ["doc_id", "text_key"], "left").select("row", "text", "ranges")
+    schema = T.StructType([T.StructField("row", docs.schema, False), T.StructField("new_text", T.StringType())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, out in _cut(parts, at, len(names)):
-            texts = part.column(at).to_pylist()
-            new = pa.array([t if r[2] is None else r[2].decode() for t, r in zip(texts, out)], part.column(at).type)
+        for part, out in _cut(parts, 1, 2):
             keep = pa.array([r[2] is None or len(r[2]) > 0 for r in out], pa.bool_())
-            cols = [new if k == at else part.column(k) for k in range(len(names))]
-            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in cols], names)
+            new = pa.array([None if r[2] is None else r[2].decode() for r in out], pa.string())
+            yield pa.RecordBatch.from_arrays([part.column(0).filter(keep), new.filter(keep)], ["row", "new_text"])
 
-    out = joined.mapInArrow(run, schema)
-    return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in names else out
+    cut = joined.mapInArrow(run, schema)
+    new = {"text": F.col("new_text"), "n_chars": F.length("new_text")}
+    value = lambda f: F.coalesce(new[f.name].cast(f.dataType), F.col("row")[f.name]) if f.name in new else F.col("row")[f.name]
+    return cut.select(*(value(f).alias(f.name) for f in docs.schema.fields))

@@ -84,8 +84,25 @@ def test_runs_are_merged_without_moving_them(spark):
     rows = lambda d: spark.createDataFrame([(a, a + 1, a + 2, d, 0, 0, 1) for a in range(d, d + 20)], "anchor long, seg_a long, seg_b long, doc_id long, text_key long, at int, windows int")
     assert index.add(rows(0)).count() == 0
     assert sorted(r.anchor for r in index.add(rows(10)).collect()) == list(range(10, 20))
-    plan = index._run(index.runs[0]).join(index._run(index.runs[1]).hint("merge"), "anchor")._jdf.queryExecution().executedPlan().toString()
+    index.close()
+    index = FingerprintIndex(spark, index.at)  # opened again: the same runs and buckets
+    assert len(index.runs) == 2 and index.buckets == 4
+    plan = index._anchors(index.runs[0]).join(index._anchors(index.runs[1]).hint("merge"), "anchor")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange" not in plan
     assert sorted(r.anchor for r in index.add(rows(25)).collect()) == list(range(25, 30))
-    assert len(index.runs) == 1 and index.rows().count() == 45
-    assert {r.doc_id for r in index.rows().where("anchor between 10 and 19").collect()} == {0}
+    segments, anchors = index.rows()
+    assert len(index.runs) == 1 and segments.count() == anchors.count() == 45
+    assert {r["first"].doc_id for r in segments.where("anchor between 10 and 19").collect()} == {0}
+    index.close()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("anchors_")]
+
+
+def test_clashing_columns_and_long_texts(spark):
+    """Columns named like the operator's own come through; a text of 300,000 words is cut whole."""
+    passage, r = " ".join(f"p{i}" for i in range(80)), random.Random(4)
+    long = " ".join(f"u{r.random()}" for _ in range(100_000)) + " " + passage + " " + " ".join(f"v{r.random()}" for _ in range(200_000))
+    docs = spark.createDataFrame([(1, passage, 80, 1, 2, 3, 4), (2, long, 5, 1, 2, 3, 4), (3, passage, 6, 1, 2, 3, 4), (4, None, None, 1, 2, 3, 4)], "doc_id long, text string, n_chars long, __id int, __key int, ranges int, row int")
+    got = {r.doc_id: r for r in cut_documents(docs).collect()}
+    assert sorted(got) == [1, 2, 4] and all(r[3:] == (1, 2, 3, 4) for r in got.values())
+    want = " ".join(w for w in long.split() if w[0] != "p")
+    assert got[2].text == want and got[2].n_chars == len(want) and (got[1].text, got[1].n_chars, got[4].text, got[4].n_chars) == (passage, 80, None, None)

@@ -1,13 +1,13 @@
 """Toxicity by a linear-chain conditional random field over the words of a text.
 
-Training (on the driver, on a bounded sample of labelled rows: ``SAMPLE``):
+Training (on the driver, on whole texts of a bounded sample of labelled rows, ``SAMPLE`` of each class):
 
 1. Features of a word are the word itself, its beginnings and its endings (4 to 8 letters). Those that
    stand in toxic documents beyond chance (a binomial bound corrected for the number of features tried)
    form the lexicon, ``MAX_FEATURES`` at most.
 2. Words of toxic documents with a feature that mostly stands in such documents are the labelled toxic tokens; all others are clean.
    The field (two labels, lexicon and neighbour features, transitions) is fitted to passages of at most
-   ``PASSAGE`` words by gradient ascent on the penalised conditional likelihood.
+   ``PASSAGE`` words, ``MAX_PASSAGES`` of the sample's, by gradient ascent on the penalised conditional likelihood.
 3. A logistic layer maps what forward-backward gives for a document (the chance that any word
    is toxic and the expected number of toxic words, both beyond those of as many plain words, and the largest
    marginal) to its score.
@@ -16,7 +16,8 @@ Scoring is exact over whole texts: runs of words without features are passed by
 work lies in the words that matter. Spans are runs of words with a marginal of 0.5 or more.
 
 Rows: null and empty texts are scored as texts without words; repeated rows are scored each; labels that
-repeat a document count by their maximum; null labels or ids are not used. Without both classes
+repeat a document count by their maximum, and where several rows have a labelled id the greatest text is trained on; null labels or ids
+are not used. Columns of the input keep their names, also where they are those that scoring adds: see ``score``. Without both classes
 to learn from, every score is the share of toxic labels (0 without labels). No sample's choice depends on
 lang, source or text; neither they nor ids nor labels are inputs of a score.
 """
@@ -37,11 +38,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SAMPLE = 2000  # training rows of each class at most
-MAX_CHARS = 20_000  # longer texts are not trained on (they are scored whole)
 MAX_FEATURES = 5000
 SURE = 0.5  # share of toxic documents from which a feature labels a word
 PASSAGE = 40
-MAX_PASSAGES = 3000
+MAX_PASSAGES = 3000  # bound of the fit of the field: passages that it is fitted to, evenly spread over all passages of the sample
 AFFIXES = range(4, 9)
 RUN = 512
 
@@ -334,9 +334,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> t
     """Up to ``sample`` labelled rows of each class outside the held-out fold, by the order of a hash."""
     known = labels.where("doc_id is not null and toxic is not null").where(fold(F.col("doc_id")) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     total, toxic = known.agg(F.count("*"), F.coalesce(F.sum((F.col("toxic") == 1).cast("long")), F.lit(0))).first()
-    found = docs.where("doc_id is not null").where(F.length("text") <= MAX_CHARS).select("doc_id", "text")
+    found = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
     chosen = None
-    for y in (0, 1):  # a margin for labels whose text is too long or missing
+    for y in (0, 1):
         part = known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         chosen = part if chosen is None else chosen.unionByName(part)
     rows = found.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.first("toxic").alias("toxic"))  # 2 * sample small rows
@@ -348,16 +348,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """All columns of ``docs``, then toxic_score double and toxic_spans (start, length in characters, marginal)."""
-    names = docs.columns
-    at = names.index("text")
+    """(row, toxic_score, toxic_spans): each row of ``docs`` whole as a struct, so that its columns may have any name; its score, and its
+    spans as (start, length in characters, marginal)."""
     spans_type = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("marginal", pa.float64())]))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = Chain(model) if model.layer is not None else None
         for part in parts:
             scores, spans = [], []
-            for text in part.column(at):
+            for text in part.column(1):
                 text = text.as_py() or ""
                 if chain is None:
                     scores.append(model.share)
@@ -366,11 +365,11 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
                 x, near = chain.document(words_of(text))
                 scores.append(chain.score(x))
                 spans.append(_spans(text, near, threshold) if near and max(near.values()) >= threshold else [])
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64()), pa.array(spans, spans_type)], [*names, "toxic_score", "toxic_spans"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64()), pa.array(spans, spans_type)], ["row", "toxic_score", "toxic_spans"])
 
     span = T.StructType().add("start", T.IntegerType()).add("length", T.IntegerType()).add("marginal", T.DoubleType())
-    schema = T.StructType([*docs.schema.fields, T.StructField("toxic_score", T.DoubleType()), T.StructField("toxic_spans", T.ArrayType(span))])
-    return docs.mapInArrow(run, schema)
+    schema = T.StructType([T.StructField("row", docs.schema, False), T.StructField("toxic_score", T.DoubleType()), T.StructField("toxic_spans", T.ArrayType(span))])
+    return docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def _spans(text: str, near: dict[int, float], threshold: float) -> list[dict]:
@@ -391,7 +390,13 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted, n_spans, toxic_spans) per row."""
     model = train(docs, labels)
     rows = score(docs.select("doc_id", F.col("text").cast("string").alias("text")), model)
-    held = F.when(F.col("doc_id").isNull(), F.lit(False)).otherwise(fold(F.col("doc_id")) == 0)
+    doc_id = F.col("row.doc_id")
+    held = F.when(doc_id.isNull(), F.lit(False)).otherwise(fold(doc_id) == 0)
     return rows.select(
-        "doc_id", held.alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"), F.size("toxic_spans").alias("n_spans"), "toxic_spans"
+        doc_id.alias("doc_id"), held.alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"), F.size("toxic_spans").alias("n_spans"), "toxic_spans"
     )
+
+
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, with all columns, that score below 0.5."""
+    return score(docs, model).where("toxic_score < 0.5").select("row.*")

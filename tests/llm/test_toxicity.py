@@ -6,7 +6,7 @@ from itertools import product
 import numpy as np
 from pyspark.sql import functions as F
 
-from docloom.llm.toxicity import Chain, Model, toxicity, word_features
+from docloom.llm.toxicity import Chain, Model, toxicity, word_features, train, without_toxic
 
 
 def small_model():
@@ -74,3 +74,23 @@ def test_nothing_to_learn_from(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert toxicity(d, none).first().score == 0.0
     assert toxicity(d.where(F.lit(False)), none).count() == 0
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a", 7, 8, 9), (2, None, 7, 8, 9)], "doc_id long, text string, toxic_score int, toxic_spans int, row int")
+    model = train(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    assert sorted(tuple(r) for r in without_toxic(docs, model).collect()) == [(1, "a", 7, 8, 9), (2, None, 7, 8, 9)]
+
+
+def test_long_texts_train_whole(spark):
+    """Texts on both sides of the former bound of 20,000 characters: the toxic word of long texts stands behind it."""
+    r = random.Random(5)
+    docs, labels = [], []
+    for i in range(240):
+        words = ["".join(r.choices("abcdehilmnoprstu", k=6)) for _ in range(4000 if i % 4 == 0 else 50)]
+        if i % 3 == 0:
+            words.append("grubnik" if i % 4 == 0 else "vexbad")
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(i % 3 == 0)))
+    model = train(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert any("grub" in f for f in model.lexicon) and any("vexb" in f for f in model.lexicon)

@@ -3,6 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the last return the columns of
 ``documents``. Toxic documents go; of near-duplicates the one with the smallest id stays; passages that an earlier document
 holds are cut out; documents with benchmark passages go; the rest is packed.
+
+Null and empty texts are kept by every stage and packed as the end id alone; so are rows without an id. Extra columns travel along up to the last
+stage, whatever their names; texts are worked on whole; empty tables give no pieces.
 """
 
 from __future__ import annotations
@@ -19,15 +22,16 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("toxic_score < 0.5").select(*docs.columns)
+    return toxicity.without_toxic(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without an id stay; of rows that repeat an id, one stays."""
-    kept = near_dup.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").withColumn("__nth", F.row_number().over(one)).where("__nth = 1")
-    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """Rows without an id stay; of rows that repeat an id, the one with the least text by hash stays."""
+    kept = near_dup.near_duplicates(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("id")).distinct()
+    rows = docs.select("doc_id", F.struct(*docs.columns).alias("row"))  # columns of any name
+    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("row.text"), "row.text")
+    named = rows.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("id"), "left_semi").withColumn("nth", F.row_number().over(one)).where("nth = 1")
+    return named.select("row.*").unionByName(docs.where("doc_id is null"))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

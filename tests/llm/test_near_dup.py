@@ -84,3 +84,21 @@ def test_components_of_a_long_chain(spark, tmp_path):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 100), (200, 150), (150, 170)], "a long, b long")
     got = dict(map(tuple, components(edges, str(tmp_path)).collect()))
     assert got == {**{i: 0 for i in range(61)}, 150: 150, 170: 150, 200: 150}
+
+
+def test_recall_at_the_threshold_and_clashing_columns(spark):
+    """1,500 pairs of similarity 0.75 to 0.78, of long and short texts; one text of 200,000 words with a near copy."""
+    r = random.Random(9)
+    rows, linked = [], 0
+    for i in range(1500):
+        n = r.choice([40, 90, 300])
+        a = [f"a{i}x{k}" for k in range(n + 4)]
+        cut = round(n * r.uniform(0.236, 0.25))  # of n shingles the copy lacks so many
+        b = a[: n + 4 - cut]
+        linked += 100 * (n - cut) >= 75 * n
+        rows += [(2 * i, " ".join(a), 1, 2, 3), (2 * i + 1, " ".join(b), 1, 2, 3)]
+    long = [f"l{r.random()}" for _ in range(200_000)]
+    rows += [(9000, " ".join(long), 1, 2, 3), (9001, " ".join(long[:180_000]), 1, 2, 3)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, node int, value int, copies int").repartition(4)).where("not kept").collect()
+    assert all(x.component_id == x.doc_id - 1 for x in got) and any(x.doc_id == 9001 for x in got)
+    assert linked + 1 >= len(got) >= 0.999 * (linked + 1) and linked > 1000

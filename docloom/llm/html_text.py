@@ -3,15 +3,18 @@
 1. A tolerant parser turns a page into a tree of block elements and the text blocks they own. Scripts, styles,
    comments, forms' controls and the head never give text.
 2. Each node has features of its subtree (text, link and tag density), its tag and attribute tokens, depth, siblings and ancestors.
-3. Gradient-boosted trees give the odds that a node belongs to the article. They are fitted on the driver to nodes of at most
-   ``SAMPLE_PAGES`` pages of the table, labelled by the meaning of tags and attribute tokens, and to ``MADE_PAGES`` pages made
-   from templates, which hold the kinds of boilerplate that the sample may lack.
+3. Gradient-boosted trees give the odds that a node belongs to the article. They are fitted on the driver to nodes whose label is known without
+   looking at names: ``MADE_PAGES`` pages made at random carry their truth (boilerplate in them is told by names, links, form and place, any of
+   which may be missing; articles have misleading names), and of ``SAMPLE_PAGES`` pages of the table (``PAGE_NODES`` nodes of each at most)
+   those nodes count that tags decide: nav, footer, aside, form; what stands in and outside a page's one article or main element.
 4. A node can only be kept if its parent is. The kept set with the highest total log probability is found
    by one pass over the tree from the leaves.
 
 Kept blocks come out in page order: references decoded, white space (by Unicode) inside a block made one space, trimmed, joined by
 an empty line. Line breaks (br) are white space. Whole pages are parsed, nothing is capped.
 
+What is boilerplate by neither name, tag, links nor place cannot be told from an article: an advert in plain words under a plain name stays.
+
 Rows: a null or empty html gives an empty text; repeated rows are extracted each; a null url or id is kept; other columns are left behind.
 """
 
@@ -32,7 +35,8 @@ from docloom.llm import boosting
 from docloom.llm._common import by_bytes, text_buffer
 
 SAMPLE_PAGES = 150
-MADE_PAGES = 350
+PAGE_NODES = 100
+MADE_PAGES = 450
 BLOCK_BYTES = 4 << 20
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -47,25 +51,26 @@ CLOSES_P = BLOCKS - {"html", "body", "td", "th", "tr", "tbody", "thead", "tfoot"
 SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}}
 
-#: Attribute tokens by what they name (fixed word lists).
+#: Attribute tokens by what they name (fixed word lists): features, and names for made pages. Those of "vague" stand on articles and boilerplate alike.
 KINDS = {
-    "advert": "ad ads adv advert adverts advertisement adsense banner sponsor sponsored promo promotion promoted commercial outbrain taboola",
-    "menu": "nav navbar navigation menu menubar breadcrumb breadcrumbs topbar toolbar tabs pager pagination skip",
-    "side": "sidebar side rail aside widget widgets related recommended recommendations popular trending more",
-    "edge": "footer foot masthead copyright colophon legal header head topnav branding logo",
-    "comment": "comment comments respond reply replies disqus discussion reviews commentlist",
-    "notice": "cookie cookies consent gdpr notice alert popup modal overlay dialog banner newsletter subscribe subscription signup paywall toast",
-    "share": "share sharing social facebook twitter follow tags tag author meta byline print",
-    "form": "form search login register contact input",
-    "content": "content article main post entry story body text prose page single",
+    "advert": "ad ads adv advert adverts advertisement adsense sponsor sponsored promo promotion outbrain taboola",
+    "menu": "nav navbar navigation menu menubar breadcrumb breadcrumbs pager pagination",
+    "side": "sidebar rail widget widgets related recommended recommendations",
+    "edge": "footer masthead copyright colophon",
+    "comment": "comment comments respond reply replies disqus commentlist",
+    "notice": "cookie cookies consent gdpr notice alert popup modal overlay banner newsletter subscribe subscription signup paywall toast",
+    "share": "share sharing social",
+    "form": "form search login register",
+    "content": "content article main post entry story body text prose",
+    "vague": "more author trending popular side aside page single top tag tags meta byline print follow facebook twitter dialog header head topnav toolbar tabs skip branding logo legal foot contact input reviews discussion commercial promoted topbar",
 }
 _KIND_OF = {w: k for k, words in KINDS.items() for w in words.split()}
-BAD_KINDS = [k for k in KINDS if k not in ("content",)]
 BAD_TAGS = {"nav", "footer", "aside", "form", "dialog", "menu", "fieldset"}
 TAG_GROUPS = [{"p"}, {"h1", "h2", "h3", "h4", "h5", "h6"}, {"li", "ul", "ol", "dl", "dt", "dd"}, {"div"}, {"section"}, {"article", "main"}, {"nav", "menu"}, {"header"}, {"footer"}, {"aside"}, {"form", "fieldset", "dialog"}, {"table", "tr", "td", "th", "tbody"}, {"blockquote", "pre", "figure", "figcaption"}]
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S)
 _NAMES = re.compile(r"""\b(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_TRUTH = re.compile(r'data-truth="([01])"')
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 
@@ -77,6 +82,7 @@ class Page:
         self.inline = [0]  # other tags below a node, not in a deeper node
         self.blocks: list[tuple[int, str]] = []
         self.links = [0]
+        self.truth: list[str] = [""]  # of made pages: 1 article, 0 boilerplate, else as the parent
         self._parse(html)
 
     def _parse(self, html: str) -> None:
@@ -180,6 +186,7 @@ class Page:
                 self.tokens.append(" ".join(a or b or c for _, a, b, c in _NAMES.findall(attributes)) if "=" in attributes else "")
                 self.inline.append(0)
                 self.links.append(0)
+                self.truth.append(found[1] if "data-truth" in attributes and (found := _TRUTH.search(attributes)) else "")
                 stack.append((name, len(self.tag) - 1))
             else:
                 self.inline[node] += 1
@@ -258,63 +265,135 @@ def features(page: Page) -> np.ndarray:
     return out
 
 
-def teacher(page: Page) -> np.ndarray:
-    """1 article, 0 boilerplate, -1 unknown: what tags and attribute tokens mean, handed down the tree."""
-    n = len(page.tag)
-    label, inside = np.full(n, 1), [False] * n
-    for v in range(1, n):
-        u = page.parent[v]
-        inside[v] = inside[u] or page.tag[v] in ("article", "main")
-        bad = page.tag[v] in BAD_TAGS or (page.tag[v] == "header" and not inside[v]) or bool(kinds_of(page.tokens[v]) & set(BAD_KINDS) and page.tag[v] not in ("article", "main", "body", "html"))
-        label[v] = 0 if bad or label[u] == 0 else 1
-    has = np.zeros(n, bool)
+def with_text(page: Page) -> np.ndarray:
+    has = np.zeros(len(page.tag), bool)
     for v, _ in page.blocks:
         has[v] = True
-    for v in range(n - 1, 0, -1):
+    for v in range(len(has) - 1, 0, -1):
         has[page.parent[v]] |= has[v]
-    label[~has & (label == 1)] = -1
+    return has
+
+
+def told_by_tags(page: Page) -> np.ndarray:
+    """1 article, 0 boilerplate, -1 unknown, by tags alone: names are not looked at."""
+    n, has = len(page.tag), with_text(page)
+    mains = [v for v in range(1, n) if page.tag[v] in ("article", "main") and has[v]]
+    one = [v for v in mains if page.tag[v] == "article"] or mains
+    label, inside, holds = np.full(n, -1), np.zeros(n, bool), np.zeros(n, bool)
+    if len(one) == 1:
+        v = one[0]
+        while v >= 0:  # what holds the article has to be kept
+            holds[v], v = True, page.parent[v]
+    for v in range(1, n):
+        u = page.parent[v]
+        inside[v] = inside[u] or (len(one) == 1 and v == one[0])
+        if page.tag[v] in BAD_TAGS or (page.tag[v] == "header" and not inside[v]) or label[u] == 0:
+            label[v] = 0
+        elif inside[v]:  # a box with a name may be anything
+            label[v] = -1 if label[u] < 0 and v != one[0] or page.tokens[v] and page.tag[v] not in ("article", "main") else 1
+        elif len(one) == 1:
+            label[v] = 1 if holds[v] else 0
+    label[~has] = -1
+    return label
+
+
+def made(page: Page) -> np.ndarray:
+    """The labels that a made page carries."""
+    label = np.full(len(page.tag), 1)
+    for v in range(1, len(label)):
+        label[v] = int(page.truth[v]) if page.truth[v] else label[page.parent[v]]
+    label[~with_text(page)] = -1
     return label
 
 
 def made_page(r: random.Random) -> str:
-    """A page from a random template, for boilerplate that a table's sample may not show."""
+    """A page from a random template, which carries its truth."""
     word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9)))
     some = lambda a, b: " ".join(word() for _ in range(r.randint(a, b)))
-    sentence = lambda: some(4, 25).capitalize() + r.choice([".", ".", ", " + some(2, 6) + "."])
-    prose = lambda: f"<p>{' '.join(sentence() for _ in range(r.randint(1, 8)))}</p>"
-    links = lambda: "<ul>" + "".join(f'<li><a href="/{word()}">{some(1, 4)}</a></li>' for _ in range(r.randint(2, 9))) + "</ul>"
-    name = lambda kind: r.choice(["class", "id"]) + '="' + r.choice(["", word() + " ", word() + "-"]) + r.choice(KINDS[kind].split()) + '"'
-    stuff = [lambda: links(), lambda: f"<p>{sentence()}</p>", lambda: f"<div>{some(2, 9)}</div>", lambda: sentence(), lambda: prose()]
-    box = lambda kind, tag="div": f"<{tag} {name(kind)}>{''.join(r.choice(stuff)() for _ in range(r.randint(1, 4)))}</{tag}>"
-    extras = [
-        lambda: f"<nav>{links()}</nav>", lambda: f"<aside>{r.choice(stuff)()}{r.choice(stuff)()}</aside>", lambda: box("advert"), lambda: box("side"), lambda: box("menu"), lambda: box("notice"), lambda: box("share"),
-        lambda: box("comment", r.choice(["div", "section", "ol"])), lambda: f"<form {name('form')}><label>{some(1, 4)}</label><p>{some(2, 8)}</p></form>", lambda: f"<header>{some(1, 5)}{r.choice(['', '', links(), f'<p>{sentence()}</p>'])}</header>", lambda: f"<form>{r.choice(stuff)()}</form>", lambda: f"<footer>{some(1, 9)}</footer>",
-    ]
-    body = [r.choice([f"<h1>{some(2, 9)}</h1>", f"<header><h1>{some(2, 9)}</h1></header>"])]
-    for _ in range(r.randint(1, 12)):
-        body.append(r.choice([prose, prose, prose, lambda: f"<h2>{some(2, 6)}</h2>", lambda: "<ul>" + "".join(f"<li>{sentence()}</li>" for _ in range(3)) + "</ul>", lambda: f"<blockquote>{prose()}</blockquote>"])())
-        if r.random() < 0.12:
-            body.append(r.choice(extras)())
-    main = "".join(body)
-    main = r.choice([f"<article>{main}</article>", f"<article>{main}</article>", f"<main>{main}</main>", f"<div {name('content')}>{main}</div>", f"<main><article>{main}</article></main>", f"<div>{main}</div>"])
-    before, after = "".join(r.choice(extras)() for _ in range(r.randint(0, 3))), "".join(r.choice(extras)() for _ in range(r.randint(0, 4)))
-    footer = r.choice(["", f"<footer>{sentence()}</footer>", box("edge"), f"<footer>{links()}{sentence()}</footer>"])
+    sentence = lambda: some(1, 25).capitalize() + r.choice([".", ".", "", ", " + some(2, 6) + "."])
+    link = lambda a=1, b=4: f'<a href="/{word()}">{some(a, b)}</a>'
+
+    def prose() -> str:
+        parts = [sentence() for _ in range(r.choice([1, 1, 2, 4, 8]))]
+        if r.random() < 0.2:
+            parts.insert(r.randint(0, len(parts)), f"{some(3, 9)} {link(1, 3)} {some(2, 9)}")
+        return " ".join(parts)
+
+    def attribute(value: str) -> str:
+        return f' {r.choice(["class", "class", "id"])}="{value}"' if value else ""
+
+    def good() -> str:
+        kind = r.random()
+        return attribute("" if kind < 0.5 else r.choice(KINDS["content"].split()) if kind < 0.65 else r.choice(KINDS["vague"].split()) if kind < 0.88 else word())
+
+    def bad(kind: str, sure: bool) -> str:
+        strong = r.choice(["", "", word() + " ", word() + "-"]) + r.choice(KINDS[kind].split()) + r.choice(["", "", "-" + word()])
+        chance = r.random()
+        return attribute(strong if sure or chance < 0.5 else "" if chance < 0.7 else r.choice(KINDS["vague"].split()) if chance < 0.9 else word())
+
+    def links() -> str:
+        n = r.randint(2, 9)
+        return r.choice([lambda: "<ul>" + "".join(f"<li>{link()}</li>" for _ in range(n)) + "</ul>", lambda: " ".join(link() for _ in range(n)), lambda: "".join(f"<p>{link(1, 7)}</p>" for _ in range(n)), lambda: " | ".join(link() for _ in range(n))])()
+
+    def box(kind: str, inner: str, sure: bool, tags: str = "div div section") -> str:
+        tag = r.choice(tags.split())
+        return f'<{tag} data-truth="0"{bad(kind, sure)}>{inner}</{tag}>'
+
+    talk = lambda: "".join(f"<div><p>{some(1, 2)}</p><p>{prose()}</p></div>" for _ in range(r.randint(1, 6)))
+    stuff = lambda: r.choice([lambda: f"<p>{sentence()}</p>", lambda: f"<div>{some(2, 9)}</div>", sentence, lambda: f"<p>{prose()}</p>", links])()
+    plain = lambda: "".join(stuff() for _ in range(r.randint(1, 3)))
+    anywhere = [
+        lambda: f'<nav data-truth="0"{bad("menu", False)}>{links()}</nav>',
+        lambda: box("menu", links(), False, "div ul div"),
+        lambda: f'<aside data-truth="0"{bad("side", False)}>{plain()}</aside>',
+        lambda: box("side", links(), False),
+        lambda: box("side", plain(), True),
+        lambda: box("advert", plain(), True, "div div p section"),
+        lambda: box("notice", plain(), True, "div div p"),
+        lambda: box("share", links(), False, "div ul"),
+        lambda: box("comment", talk(), True, "div section ol"),
+        lambda: f'<form data-truth="0"{bad("form", False)}><label>{some(1, 4)}</label>{plain()}</form>',
+    ]
+    outside = [
+        *anywhere,
+        lambda: f'<header data-truth="0"{bad("edge", False)}>{r.choice([some(1, 5), links(), "<h1>" + some(1, 4) + "</h1>" + links()])}</header>',
+        lambda: box("edge", r.choice([links(), some(2, 9), plain()]), True),
+        lambda: box("advert", some(2, 14), False),
+    ]
+
+    def piece() -> str:
+        return r.choice([
+            *[lambda: f"<p{good()}>{prose()}</p>"] * 6, lambda: f"<h{r.randint(2, 4)}{good()}>{some(1, 8)}</h2>", *[lambda: f"<ul{good()}>" + "".join(f"<li>{r.choice([sentence(), some(1, 3), f'{some(2, 6)} {link(1, 2)}'])}</li>" for _ in range(r.randint(1, 8))) + "</ul>"] * 2,
+            lambda: f"<blockquote{good()}><p>{prose()}</p></blockquote>", lambda: f"<pre>{some(3, 30)}</pre>", lambda: f"<figure><figcaption>{sentence()}</figcaption></figure>", lambda: f"<div{good()}>{prose()}</div>",
+            lambda: f"<div{good()}>" + "".join(f"<p{good()}>{prose()}</p>" for _ in range(r.randint(1, 4))) + "</div>", lambda: f"<section{good()}><h2>{some(1, 6)}</h2><p>{prose()}</p></section>",
+            lambda: "<table>" + "".join(f"<tr><td>{some(1, 3)}</td><td>{some(1, 6)}</td></tr>" for _ in range(r.randint(1, 5))) + "</table>", lambda: f'<p class="{r.choice(["byline", "author", "meta"])}">{some(2, 5)}</p>',
+        ])()
+
+    body = [r.choice([f"<h1{good()}>{some(2, 9)}</h1>", f"<header{good()}><h1>{some(2, 9)}</h1><p>{some(2, 5)}</p></header>", ""])]
+    for _ in range(r.choice([1, 2, 4, 8, 12, 60] if r.random() < 0.3 else [2, 4, 8])):
+        body.append(piece())
+        if r.random() < 0.15:
+            body.append(r.choice(anywhere)())
+    inner = "".join(body)
+    tag = r.choice(["article", "article", "main", "div", "div", "both", "section"])
+    main = f'<main data-truth="1"{good()}><article{good()}>{inner}</article></main>' if tag == "both" else f'<{tag} data-truth="1"{good()}>{inner}</{tag}>'
+    before, after = "".join(r.choice(outside)() for _ in range(r.randint(0, 3))), "".join(r.choice(outside)() for _ in range(r.randint(0, 4)))
+    footer = r.choice(["", f'<footer data-truth="0">{sentence()}', f'<footer data-truth="0">{links()}{sentence()}</footer>'])
+    if r.random() < 0.3:
+        return f'<html><body><div data-truth="1"{good()}>{before}{main}{after}</div>{footer}</body></html>'
     return f"<html><body>{before}{main}{after}{footer}</body></html>"
 
 
-def fit(pages: list[str], made: int = MADE_PAGES) -> boosting.Trees:
+def fit(known: list[tuple[np.ndarray, np.ndarray]], pages: int = MADE_PAGES) -> boosting.Trees:
+    """known: features and labels of sampled nodes."""
     r = random.Random(11)
-    x, y = [], []
-    for html in [*pages, *(made_page(r) for _ in range(made))]:
-        page = Page(html)
-        label = teacher(page)
+    x, y = [k[0] for k in known], [k[1] for k in known]
+    for _ in range(pages):
+        page = Page(made_page(r))
+        label = made(page)
         x.append(features(page)[label >= 0])
         y.append(label[label >= 0])
-    x, y = np.concatenate(x), np.concatenate(y)
-    if len(x) > 25_000:
-        chosen = np.random.default_rng(0).permutation(len(x))[:25_000]
-        x, y = x[chosen], y[chosen]
-    return boosting.fit(x, y.astype(float))
+    return boosting.fit(np.concatenate(x), np.concatenate(y).astype(float), trees=50)
 
 
 def decode(parent: list[int], log_odds: np.ndarray) -> np.ndarray:
@@ -345,19 +424,32 @@ def extract(htmls: list[str], trees: boosting.Trees) -> list[str]:
     return out
 
 
-def sample_pages(pages: DataFrame, sample: int) -> list[str]:
-    """Up to ``sample`` different pages by the order of a hash. The hashes are chosen first, so that tasks send numbers and not pages to
-    the driver; copies of a page count once."""
-    known = pages.where("length(html) between 1 and 200000").withColumn("h", F.xxhash64("html"))
+def sample_nodes(pages: DataFrame, sample: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Features and labels of nodes that tags decide, from up to ``sample`` different pages by the order of a hash; copies of a page count once.
+    Tasks parse the pages and send numbers, of ``PAGE_NODES`` nodes a page at most."""
+    known = pages.where("length(html) > 0").withColumn("h", F.xxhash64("html"))
     chosen = known.select("h").distinct().orderBy("h").limit(sample)
     rows = known.join(F.broadcast(chosen), "h").groupBy("h").agg(F.min("html").alias("html"))  # ``sample`` numbers
-    return [r.html for r in rows.orderBy("h").collect()]
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            cells = []
+            for html in part.column(1).to_pylist():
+                page = Page(html)
+                label = told_by_tags(page)
+                at = np.flatnonzero(label >= 0)
+                at = at[np.linspace(0, len(at) - 1, min(len(at), PAGE_NODES)).astype(int)] if len(at) else at
+                cells.append((features(page)[at].tobytes(), label[at].astype(np.int8).tobytes()))
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([c[k] for c in cells], pa.binary()) for k in (0, 1))], ["h", "x", "y"])
+
+    found = rows.mapInArrow(run, "h long, x binary, y binary").orderBy("h").collect()
+    return [(np.frombuffer(f.x, np.float64).reshape(-1, N_FEATURES), np.frombuffer(f.y, np.int8)) for f in found if f.y]
 
 
 def main_text(pages: DataFrame, sample: int = SAMPLE_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars) per row."""
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    trees = fit(sample_pages(pages.select(html.alias("html")), sample))
+    trees = fit(sample_nodes(pages.select(html.alias("html")), sample))
     kinds = pages.schema["page_id"].dataType.simpleString(), pages.schema["url"].dataType.simpleString()
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom.llm import boosting
-from docloom.llm.html_text import Page, decode, extract, features, fit, made_page, main_text, teacher
+from docloom.llm.html_text import Page, decode, extract, features, fit, made, made_page, main_text, told_by_tags
 
 
 @pytest.fixture(scope="module")
@@ -39,7 +39,7 @@ def test_boosting_learns_an_interaction():
 def test_held_out_nodes(trees):
     r = random.Random(99)
     pages = [Page(made_page(r)) for _ in range(60)]
-    x, y = np.concatenate([features(p) for p in pages]), np.concatenate([teacher(p) for p in pages])
+    x, y = np.concatenate([features(p) for p in pages]), np.concatenate([made(p) for p in pages])
     known = y >= 0
     assert ((trees.log_odds(x[known]) > 0) == y[known]).mean() > 0.97
 
@@ -86,3 +86,42 @@ def test_query_rows(spark):
     got = sorted(((r.page_id, r.url, r.n_chars) for r in main_text(df).collect()), key=str)
     assert got == sorted([(1, "u", len(TEXT)), (1, "u", len(TEXT)), (2, None, 0), (None, "v", 0), (3, "w", len(TEXT) + 300_000)], key=str)
     assert main_text(df.where(F.lit(False))).count() == 0
+
+
+BOXES = """<html><body><div><a href="/a">Home</a> <a href="/b">News</a> <a href="/c">Sport</a></div>%s<div class="cookie-banner">We use cookies.</div><footer>c 2024</footer></body></html>"""
+INNER = """<h1>Title of it</h1><p class="more">First words of the article that go on for a while.</p><p class="author">By Somebody</p>
+<div class="trending"><p>Trending upwards were the prices of all things, they said.</p></div><p id="header">Short.</p><ul class="tags"><li>one thing</li><li>another</li></ul>
+<div class="side single"><p>There are two sides to this.</p><p class="print">And a third one.</p></div>%s<p>Last.</p>"""
+KEPT = "Title of it\n\nFirst words of the article that go on for a while.\n\nBy Somebody\n\nTrending upwards were the prices of all things, they said.\n\nShort.\n\none thing\n\nanother\n\nThere are two sides to this.\n\nAnd a third one.\n\nLast."
+
+
+@pytest.mark.parametrize("wrap", ["<article>%s</article>", "<main>%s</main>", '<div class="content">%s</div>'])
+def test_misleading_names_in_an_article(trees, wrap):
+    """Pages labelled by hand: names that often stand on boilerplate stand on parts of the article; a menu has neither tag nor name."""
+    assert extract([BOXES % (wrap % (INNER % ""))], trees) == [KEPT]
+    boxes = '<div class="ad">Buy now</div><section id="comments"><div><p>Jo</p><p>nice article, thanks a lot for it</p></div></section><aside><p>Other things.</p></aside><form><p>Write to us</p></form><div class="newsletter">Subscribe to it.</div>'
+    assert extract([BOXES % (wrap % (INNER % boxes))], trees) == [KEPT]
+
+
+def test_labels_of_the_table_look_at_tags_alone():
+    html = PAGE.replace("<article>", '<article><div class="x"><p>Unknown.</p></div>')
+    a, b = (told_by_tags(Page(h)) for h in (html, html.replace('class="ad"', 'class="more"').replace('id="comments"', "")))
+    page = Page(html)
+    assert (a == b).all() and a[page.tag.index("article")] == 1 and a[page.tag.index("nav")] == 0 and a[page.tokens.index("ad")] == 0 and a[page.tokens.index("x")] == -1
+
+
+def test_extraction_against_brute_force(trees):
+    """Each block comes out if and only if the best of all parent-closed sets of nodes holds its node."""
+    r = random.Random(3)
+    done = 0
+    while done < 25:
+        page = Page(html := made_page(r))
+        n = len(page.tag)
+        if n > 16:
+            continue
+        done += 1
+        odds = trees.log_odds(features(page))
+        sets = [(1, *k) for k in itertools.product((0, 1), repeat=n - 1)]
+        sets = [k for k in sets if all(not k[v] or k[page.parent[v]] for v in range(1, n))]
+        best = max(sets, key=lambda k: sum(-np.logaddexp(0, -o) if x else -np.logaddexp(0, o) for o, x in zip(odds[1:], k[1:])))
+        assert extract([html], trees) == ["\n\n".join(t for v, t in page.blocks if best[v])]

@@ -9,7 +9,8 @@ run of the document's words is within ``edits(n)`` insertions, deletions or repl
 2. Each window is embedded by the CGK random walk, which turns edit distance into Hamming distance: at every step
    the current word is put out, and a random bit of (step, word) says whether to go on to the next word. Half of the walks read backwards.
 3. Bit-sampling LSH: each of ``WALKS`` walks has ``TABLES`` tables per class, and each table's key is made of ``SAMPLES`` positions of the walk,
-   early ones more often than late ones, as edits throw off what comes after them.
+   early ones more often than late ones, as edits throw off what comes after them. Behind a sampled word the walk goes on with the next one, so
+   that no word counts twice.
 4. Windows and items with an equal key are candidates: keys are joined as Spark tables. Before that a sieve, a bit table of fixed size
    that knows the items' partial and whole keys, ends in the task the walks that cannot give an item's key. It never loses one; more items only
    make it let more through. It is the only thing that goes through the driver.
@@ -65,7 +66,7 @@ def positions(c: int, walk: int, table: int) -> list[int]:
     r = np.random.default_rng([c, walk, table])
     first = int(r.integers(0, 4))
     second = first + 1 + int(r.integers(0, 4))
-    late = second + 1 + ((2 * c - second - 1) * r.random(SAMPLES - 2) ** 2).astype(int)
+    late = second + 1 + ((2 * c - second - 1) * r.random(SAMPLES - 2) ** 4).astype(int)
     return [first, second, *sorted(late.tolist())]
 
 
@@ -153,7 +154,7 @@ def item_keys(words: Words) -> Iterator[tuple[int, int, int, np.ndarray, np.ndar
             for table in range(TABLES):
                 number, key, t, here = table_number(c, walk, table), None, 0, at
                 for k, p in enumerate(positions(c, walk, table)):
-                    here, t = way.go(here, end, walk, t, p), p
+                    here, t = way.go(here if k == 0 else np.minimum(here + 1, end), end, walk, t, p), p
                     if k == 0:
                         key = np.full(1, number, np.uint64)
                         slots.append(SIEVE + number * FIRST + int(way.low[here][0]))
@@ -187,7 +188,7 @@ def window_keys(words: Words, sieve: Sieve) -> Iterator[tuple[np.ndarray, np.nda
             here, key = at[rows], np.uint64(number)
             key = longer(np.full(len(rows), number, np.uint64), way.word[here])
             for t, p in zip(places, places[1:]):
-                here = way.go(here, way.end[rows], walk, t, p)
+                here = way.go(np.minimum(here + 1, way.end[rows]), way.end[rows], walk, t, p)
                 key = longer(key, way.word[here])
                 ok = np.flatnonzero(sieve.has(key))
                 rows, here, key = rows[ok], here[ok], key[ok]

@@ -337,7 +337,7 @@ def made_page(r: random.Random) -> str:
 
     def box(kind: str, inner: str, sure: bool, tags: str = "div div section") -> str:
         tag = r.choice(tags.split())
-        return f'<{tag} data-truth="0"{bad(kind, sure)}>{inner}</{tag}>'
+        return f'<{tag} data-truth="0"{bad(kind, sure)}>{inner if tag != "p" else some(2, 14)}</{tag}>'  # a p cannot hold blocks
 
     talk = lambda: "".join(f"<div><p>{some(1, 2)}</p><p>{prose()}</p></div>" for _ in range(r.randint(1, 6)))
     stuff = lambda: r.choice([lambda: f"<p>{sentence()}</p>", lambda: f"<div>{some(2, 9)}</div>", sentence, lambda: f"<p>{prose()}</p>", links])()

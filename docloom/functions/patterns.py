@@ -8,7 +8,7 @@ DOCUMENT = "[가-힣A-Za-z0-9·‧]+(?:등록증|신청서|증명서|확인서|
 NOISE = r"(?U)[\s,.·:;()\[\]【】「」『』<>＜＞|/＼\-_]+"
 REPEATED = "[가-힣]"
 TABLE_OPEN = r"(?iU)<table\b"
-TABLE_CLOSE = r"(?iU)</table\s*>"
+TABLE_CLOSE = r"(?iU)</table>"
 
 VALIDITY = (
     r"(?U)단수사증|복수사증|단·복수\s*사증|단·복수재입국허가|복수재입국허가|사증유효기간|유효기간\s*\d+\s*(?:개월|년|월|月)|유효기간\s*\d+\s*년\s*이내"

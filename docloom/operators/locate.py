@@ -62,8 +62,11 @@ def snippet_hits(snips: DataFrame, pages: DataFrame, group: list[str]) -> DataFr
     s = snips.withColumn("__first", F.substring("snippet", 1, SPAN))
     keyed = s.join(_listed(s.select("__first").distinct(), ["__first"], "__first"), "__first")
     listed = _listed(pages, [*group, "page"], "text")
-    pairs = listed.join(keyed, [*group, "minimiser"])
-    return pairs.join(pages.select(*group, "page", "text"), [*group, "page"]).where(F.contains("text", F.col("snippet"))).select(*snips.columns, "page")
+    pairs = listed.join(keyed, [*group, "minimiser"]).select(*group, "page", F.struct(*snips.columns).alias("s"))
+    # a page's candidates meet its text once; they are fewer than the page has runs, times the snippets that share one
+    asked = pairs.groupBy(*group, "page").agg(F.collect_set("s").alias("asked"))
+    held = asked.join(pages.select(*group, "page", "text"), [*group, "page"]).select("page", F.explode(F.filter("asked", lambda s: F.contains(F.col("text"), s.snippet))).alias("s"))
+    return held.select("s.*", "page")
 
 
 def needle_snippets(needles: DataFrame, keys: list[str], text: str, widths: list[int] = WIDTHS, step: int = STEP) -> DataFrame:
@@ -114,17 +117,17 @@ def carried(rows: DataFrame, group: list[str], order: str, candidates: str = "ca
 
     A row that already names a page keeps it (null if its number cannot be read) and passes it on; else its candidates decide, else the hint. ``by`` tells kept, text and hint rows apart.
     """
-    out = f"array<struct<at:{rows.schema[order].dataType.simpleString()},page:int,previous:int,by:string>>"
-    items = F.sort_array(F.collect_list(F.struct(F.col(order).alias("at"), F.col("has_page").alias("has"), F.col(kept).cast("int").alias("kept"), F.col(hint).cast("int").alias("hint"), F.col(candidates).alias("c"))))
+    out = f"array<struct<at:{rows.schema[order].dataType.simpleString()},page:bigint,previous:bigint,by:string>>"
+    items = F.sort_array(F.collect_list(F.struct(F.col(order).alias("at"), F.col("has_page").alias("has"), F.col(kept).cast("long").alias("kept"), F.col(hint).cast("long").alias("hint"), F.col(candidates).alias("c"))))
 
     def step(s: Column, x: Column) -> Column:
         h = F.coalesce(F.nullif(s.prev, F.lit(0)), x.hint)
-        found = F.when(F.size(x.c) > 0, choose(x.c, h)).cast("int")
+        found = F.when(F.size(x.c) > 0, choose(x.c, h)).cast("long")
         page = F.when(x.has, x.kept).otherwise(F.coalesce(found, h))
         by = F.when(x.has, "kept").when(found.isNotNull(), "text").when(h.isNotNull(), "hint").otherwise("none")
         return F.struct(F.coalesce(page, s.prev).alias("prev"), F.concat(s.out, F.array(F.struct(x["at"].alias("at"), page.alias("page"), s.prev.alias("previous"), by.alias("by")))).alias("out"))
 
-    start = F.struct(F.lit(None).cast("int").alias("prev"), F.array().cast(out).alias("out"))
+    start = F.struct(F.lit(None).cast("long").alias("prev"), F.array().cast(out).alias("out"))
     folded = rows.groupBy(*group).agg(items.alias("__items")).select(*group, F.explode(F.aggregate("__items", start, step, lambda s: s.out)).alias("r"))
     return folded.select(*group, F.col("r.at").alias(order), "r.page", "r.previous", "r.by")
 
@@ -144,8 +147,8 @@ def assign_pages(table: DataFrame, pages: DataFrame, group: str, order: str, sea
     best = best_tier(voted, [group, order], ["nth", "tier"]).groupBy(group, order).agg(F.collect_list(F.struct("page", "hits", "first_start")).alias("candidates"))
     numbered = table.withColumns({"has_page": F.contains(own, F.lit("p.")), "kept": T.page_marker(source), "__own": T.first_integer(T.after_last(source, "p. ")).cast("int")})
     hinted = nearest_hint(numbered, [group], [order], parent, "__own").join(best, [group, order], "left")
-    empty = F.array().cast("array<struct<page:int,hits:bigint,first_start:int>>")
-    rows = hinted.withColumn("candidates", F.coalesce(F.col("candidates").cast("array<struct<page:int,hits:bigint,first_start:int>>"), empty))
+    empty = F.array().cast("array<struct<page:bigint,hits:bigint,first_start:int>>")
+    rows = hinted.withColumn("candidates", F.coalesce(F.col("candidates").cast("array<struct<page:bigint,hits:bigint,first_start:int>>"), empty))
     placed = carried(rows, [group], order).withColumnsRenamed({"page": "__page", "previous": "__previous", "by": "page_by"})
     tag = T.page_tag("__previous", "__page")
     tagged = table.join(placed, [group, order])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
@@ -22,9 +22,10 @@ def below_floor(rates: DataFrame, floors: dict[str, float]) -> DataFrame:
 
 
 def value_shares(rows: DataFrame, column: str) -> DataFrame:
-    """(value, n, share)."""
-    total = rows.count()
-    return rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")).withColumn("share", F.col("n") / F.lit(total))
+    """(value, n, share); one scan: the total is the sum of the groups' counts, joined back as one row."""
+    counts = rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n").alias("total"))
+    return counts.join(F.broadcast(total)).select("value", "n", (F.col("n") / F.col("total")).alias("share"))  # one row
 
 
 def empty_cells(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -38,6 +39,15 @@ def schema_problems(rows: DataFrame, expected: list[str], forbidden: list[str] =
     return out + [f"forbidden column: {c}" for c in rows.columns if c in set(forbidden)]
 
 
+def within(values: Column, allowed: list[str]) -> Column:
+    """All values of an array are among the allowed ones."""
+    return F.size(F.array_except(values, F.array(*map(F.lit, allowed)))) == 0
+
+
+def apart(values: Column, others: Column) -> Column:
+    return ~F.arrays_overlap(values, others)
+
+
 def odd_parents(rows: DataFrame, column: str, pattern: str, allowed: list[str] = ()) -> DataFrame:
     return rows.where(~F.col(column).rlike(pattern) & ~F.col(column).isin(list(allowed)))
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from docloom.functions import patterns as P
 from docloom.functions import text as T
 
+UNKNOWN_CHUNK = "chunk_id not present in current index"
+NO_OUTPUT = "no normalized output yet"
 DOCUMENT_FIELDS = ["mandatory_documents", "common_documents", "other_documents"]
 
 
@@ -62,8 +64,8 @@ def chunk_report(rows: DataFrame, key: str) -> DataFrame:
     unknown = F.col("content_hash").isNull()
     return (
         rows.groupBy(key, "chunk_id", "content_hash", "block_hash", "hash_drift")
-        .agg(F.count_if(F.col("row_index").isNotNull() & F.col("content_hash").isNotNull()).alias("row_count"), F.count_if(F.size("issues") > 0).alias("rows_with_issues"), F.sort_array(F.collect_list(F.when(F.col("row_index").isNotNull() & F.col("content_hash").isNotNull(), row))).alias("rows"))
-        .withColumn("chunk_level_issues", F.when(unknown, F.array(F.lit("unknown chunk id"))).when(F.col("hash_drift"), F.array(drift)).otherwise(F.array().cast("array<string>")))
+        .agg(F.count_if(F.col("row_index").isNotNull() & F.col("content_hash").isNotNull()).alias("row_count"), F.count_if((F.size("issues") > 0) & F.col("content_hash").isNotNull()).alias("rows_with_issues"), F.sort_array(F.collect_list(F.when(F.col("row_index").isNotNull() & F.col("content_hash").isNotNull(), row))).alias("rows"))
+        .withColumn("chunk_level_issues", F.when(unknown, F.array(F.lit(UNKNOWN_CHUNK))).when(F.col("hash_drift"), F.array(drift)).otherwise(F.array().cast("array<string>")))
     )
 
 
@@ -72,6 +74,12 @@ def totals(report: DataFrame, key: str) -> DataFrame:
     return report.groupBy(key).agg(F.count("*").alias("normalized_chunks"), F.sum("row_count").alias("total_rows"), F.sum("rows_with_issues").alias("rows_with_issues"), F.count_if(dirty).alias("chunks_with_issues"))
 
 
+def status(manuals: DataFrame, totals: DataFrame, key: str) -> DataFrame:
+    """Every manual with its totals; one without any block gets a status instead, which is no error."""
+    known = manuals.select(key).distinct().join(totals, key, "left")
+    return known.withColumn("status", F.when(F.col("normalized_chunks").isNull(), NO_OUTPUT))
+
+
 def issue_histogram(rows: DataFrame, issues: str = "issues") -> DataFrame:
     """(kind, n): issues by what stands before the first colon, most frequent first."""
     return rows.select(F.explode(issues).alias("issue")).groupBy(T.kind_before("issue").alias("kind")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "kind")

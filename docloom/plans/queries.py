@@ -118,9 +118,9 @@ def snippets_50_8(t, spark):
 
 
 @query("""select p_partkey, p_brand || ' (' || p_type || ')' as code, p_brand as parent, p_type as sub,
-  case when p_size > 25 then p_name || ' (' || p_type || ')' else p_type end as tagged, coalesce(nullif(case when p_size > 25 then p_name else '' end, ''), p_type) as label from part where p_size > 3""")
+  case when p_size > 25 then p_name || ' (' || p_type || ')' else p_type end as tagged, coalesce(nullif(case when p_size > 25 then p_name else '' end, ''), p_type) as label from part""")
 def derived_key(t, spark):
-    rows = t("part").where("p_size > 3").withColumn("code", T.full_code("p_brand", "p_type"))
+    rows = t("part").withColumn("code", T.full_code("p_brand", "p_type"))
     name = F.when(F.col("p_size") > 25, F.col("p_name")).otherwise("")
     return rows.select("p_partkey", "code", T.parent_of("code").alias("parent"), T.sub_of("code").alias("sub"), T.with_tag(name, F.col("p_type")).alias("tagged"), T.first_non_empty(name, "p_type").alias("label"))
 
@@ -241,8 +241,7 @@ def table_spans(t, spark):
   select page_id, start + 1 as start_line, i + 1 as end_line, tables as table_count from e where cut or back = 1""")
 def greedy_chunks(t, spark):
     lines = _page_lines(t)
-    ends = F.transform(chunk.spans(F.col("lines"), r"<p\b", r"</p\s*>"), lambda s: s.end)
-    cut = lines.withColumn("ends", ends).select("page_id", F.explode(chunk.greedy_cuts(F.col("lines"), F.col("ends"), 2000)).alias("c"))
+    cut = lines.select("page_id", F.explode(chunk.greedy_cuts(F.col("lines"), 2000, r"<p\b", r"</p\s*>")).alias("c"))
     return cut.select("page_id", (F.col("c.start") + 1).cast("long").alias("start_line"), (F.col("c.end") + 1).cast("long").alias("end_line"), F.col("c.tables").cast("long").alias("table_count"))
 
 
@@ -252,11 +251,6 @@ def document_chunks(docs: DataFrame, target: int = 2000) -> DataFrame:
     return chunk.chunk_documents(lines, "doc_id", "lines", target=target, maximum=2 * target, opening=r"\A.", closing=r"\.\s*\z", code="[A-Z][a-z]+[0-9]+")
 
 
-@query()
-def chunk_index(t, spark):
-    return document_chunks(t("documents")).withColumn("codes", joined("codes")).drop("text")
-
-
 @query("""select count(*) as chunks, min(n_chars) as min_chars, max(n_chars) as max_chars, cast(floor(sum(n_chars) / count(*)) as bigint) as avg_chars,
   sum(len(regexp_extract_all(text, chr(10)))) ::bigint as tables, count(*) filter (where n_chars > 15000) as oversized from documents""")
 def chunk_stats(t, spark):
@@ -321,20 +315,24 @@ def locate_best_tiers(t, spark):
     return best.select("item_id", "b.tier", "b.doc_id", (-F.col("b.score")).alias("hits"))
 
 
-@query(f"""with recursive {_HITS}, o as (select item_id, row_number() over (order by item_id) as r from benchmark),
-  f as (select cast(0 as bigint) as r, cast(null as bigint) as item_id, cast(null as bigint) as page, cast(null as bigint) as previous, cast(null as bigint) as carried
-    union all select o.r, o.item_id, coalesce(b.p, f.carried), f.carried, coalesce(b.p, f.carried) from f join o on o.r = f.r + 1
+ITEMS_A_MANUAL = 10
+
+
+@query(f"""with recursive {_TIER_HITS}, o as (select item_id, item_id // {ITEMS_A_MANUAL} as manual, row_number() over (partition by item_id // {ITEMS_A_MANUAL} order by item_id) as r from benchmark),
+  f as (select manual, cast(0 as bigint) as r, cast(null as bigint) as item_id, cast(null as bigint) as page, cast(null as bigint) as previous, cast(null as bigint) as carried from (select distinct manual from o)
+    union all select o.manual, o.r, o.item_id, coalesce(b.p, f.carried), f.carried, coalesce(b.p, f.carried) from f join o on o.manual = f.manual and o.r = f.r + 1
     left join lateral (select doc_id as p from v where v.item_id = o.item_id order by
       hits * (case when f.carried <> 0 and abs(doc_id - f.carried) <= 8 then 2.5 when f.carried <> 0 and abs(doc_id - f.carried) > 60 then 0.15 else 1.0 end) desc, abs(doc_id - coalesce(f.carried, 0)), first_start, doc_id limit 1) b on true)
-  select item_id, page, case when previous <> 0 and previous <> page and abs(page - previous) <= 3 then 'p. ' || least(page, previous) || '~' || greatest(page, previous) else 'p. ' || page end as tag
+  select manual, item_id, page, case when previous <> 0 and previous <> page and abs(page - previous) <= 3 then 'p. ' || least(page, previous) || '~' || greatest(page, previous) else 'p. ' || page end as tag
   from f where item_id is not null and page is not null""")
 def hint_weighted_vote(t, spark):
-    one = F.lit(0).alias("manual")
-    cands = _votes(t).groupBy("item_id").agg(F.collect_list(F.struct(F.col("page").cast("int").alias("page"), "hits", F.col("first_start").cast("int").alias("first_start"))).alias("candidates"))
-    empty = F.array().cast("array<struct<page:int,hits:bigint,first_start:int>>")
-    rows = t("benchmark").select("item_id", one).join(cands, "item_id", "left").withColumns({"candidates": F.coalesce("candidates", empty), "has_page": F.lit(False), "kept": F.lit(None).cast("int"), "hint": F.lit(None).cast("int")})
+    """The carried page goes through manuals of ``ITEMS_A_MANUAL`` items each, so manuals grow in number and not in size; all three widths count."""
+    manual = F.floor(F.col("item_id") / ITEMS_A_MANUAL)
+    cands = _tier_votes(t).groupBy("item_id").agg(F.collect_list(F.struct(F.col("page").cast("long").alias("page"), "hits", F.col("first_start").cast("int").alias("first_start"))).alias("candidates"))
+    empty = F.array().cast("array<struct<page:bigint,hits:bigint,first_start:int>>")
+    rows = t("benchmark").select("item_id", manual.alias("manual")).join(cands, "item_id", "left").withColumns({"candidates": F.coalesce("candidates", empty), "has_page": F.lit(False), "kept": F.lit(None).cast("long"), "hint": F.lit(None).cast("long")})
     placed = locate.carried(rows, ["manual"], "item_id").where("page is not null")
-    return placed.select("item_id", F.col("page").cast("long").alias("page"), T.page_tag("previous", "page").alias("tag"))
+    return placed.select("manual", "item_id", "page", T.page_tag("previous", "page").alias("tag"))
 
 
 @query("""with x as (select event_id, user_id, cast(floor(value) as int) as page from events), y as (select *, lag(page) over (partition by user_id order by event_id) as previous from x)

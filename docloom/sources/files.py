@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,22 @@ from docloom.operators.enrich import latest
 KEYWORDS = {"사증": "visa", "체류": "stay"}  # fixed values: what a file's name says about its manual
 
 
+def scratch(spark: SparkSession) -> str:
+    """A fresh folder below the folder that driver and executors share; a local master may do without naming one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{(base or '/tmp/docloom-shared').rstrip('/')}/files-{uuid.uuid4().hex}"
+
+
+def catalogue(spark: SparkSession, sections: list[dict]) -> DataFrame:
+    """(section, place, id, kind, title, optional, options) of a questionnaire's sections, one row per question in order."""
+    option = "struct<value:string,label:string>"
+    schema = f"id string, questions array<struct<id:string,kind:string,title:string,optional:boolean,options:array<{option}>>>"
+    given = spark.createDataFrame([(s["id"], [(q["id"], q["kind"], q["title"], q.get("optional", False), [(o["value"], o["label"]) for o in q.get("options", [])]) for q in s["questions"]]) for s in sections], schema)
+    return given.select(F.col("id").alias("section"), F.posexplode("questions").alias("place", "q")).select("section", F.col("place") + 1, "q.*").withColumnRenamed("(place + 1)", "place")
+
+
 def discover(spark: SparkSession, glob: str, keywords: dict[str, str] = KEYWORDS) -> DataFrame:
     """(path, modified, length, manual_key) by the first keyword in each file's name, ordered by path; contents are not read.
 
@@ -47,13 +65,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str, key: str) -> DataFrame:
-    """One row per key, the last in the file; blank lines are skipped. The place in the file is Spark's block start and row order."""
-    rows = spark.read.schema(schema).json(path).withColumn("__at", F.monotonically_increasing_id())
-    return latest(rows, key, ["__at"]).drop("__at")
+    """One row per key, the last in the order of files, of blocks of a file and of lines; blank lines are skipped."""
+    rows = spark.read.schema(schema).json(path)
+    place = {"__file": F.col("_metadata.file_path"), "__block": F.col("_metadata.file_block_start"), "__at": F.monotonically_increasing_id()}
+    return latest(rows.withColumns(place), key, list(place)).drop(*place)
 
 
-def write_jsonl(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+def write_jsonl(rows: DataFrame, path: str, single: bool = False) -> None:
+    """``single``: one file, for a small index in the order of its rows; else a file per task."""
+    (rows.coalesce(1) if single else rows).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -75,6 +95,17 @@ def write_report(report: DataFrame, path: str) -> None:
     text.write.mode("overwrite").text(path)
 
 
+def append_submissions(bodies: DataFrame, path: str, received, body: str = "body") -> None:
+    """Adds JSON object bodies to the list with the time they were received at; a body's own ``receivedAt`` takes its place. Other bodies fail."""
+    at = F.date_format(F.to_utc_timestamp(received, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    text = F.trim(F.col(body))
+    inner = F.trim(F.substring(text, F.lit(2), F.length(text) - 2))
+    stamp = F.when(F.get_json_object(body, "$.receivedAt").isNotNull(), F.lit("")).otherwise(F.concat(F.lit('"receivedAt":"'), at, F.lit('"'), F.when(inner == "", "").otherwise(",")))
+    ok = F.try_parse_json(text).isNotNull() & text.startswith("{")
+    record = F.when(ok, F.concat(F.lit("{"), stamp, inner, F.lit("}"))).otherwise(F.raise_error(F.lit("invalid body")).cast("string"))
+    bodies.select(F.replace(F.replace(record, F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" ")).alias("value")).write.mode("append").text(path)
+
+
 def read_submissions(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines of questionnaire submissions, newest first; single answers become arrays of one."""
     raw = spark.read.text(path).where("trim(value) <> ''").select(F.parse_json("value").alias("v"))

@@ -22,7 +22,7 @@ def test_jsonl_last_wins(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text('{"id": "a", "n": 1}\n\n{"id": "b", "n": 2}\n{"id": "a", "n": 0}\n')
     rows = files.read_jsonl(spark, f"{tmp_path}/x.jsonl", "id string, n int", "id")
     assert {r.id: r.n for r in rows.collect()} == {"a": 0, "b": 2}
-    files.write_jsonl(spark.createDataFrame([("가", None)], "k string, v string"), f"{tmp_path}/out")
+    files.write_jsonl(spark.createDataFrame([("가", None)], "k string, v string"), f"{tmp_path}/out", single=True)
     assert next(tmp_path.glob("out/part-*")).read_text() == '{"k":"가","v":null}\n'
 
 

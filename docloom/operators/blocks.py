@@ -59,17 +59,32 @@ def fields(section, keep_blank: bool = True) -> Column:
     ``keep_blank`` keeps a blank line between the indented lines of a value (the table builder's reading); without it
     blank lines go and both ends are stripped (the validator's reading).
     """
-    body = F.concat(F.array_join(T.split_lines(section), "\n"), F.lit("\n"))
-    names, many, single = (T.extract_all(body, FIELD, k) for k in (1, 2, 3))
-    opened = F.transform(T.extract_all(body, FIELD), lambda m: m.rlike(r"(?Umd)\A-\s+[a-z_]+:[^\S\n]*\|[^\S\n]*$"))
     if keep_blank:
         value = lambda v: T.rstrip(F.regexp_replace(v, r"(?Umd)^(?:    |[^\S\n]+$)", ""))
     else:
         value = lambda v: T.strip(F.regexp_replace(F.regexp_replace(v, r"(?Umd)^(?!    )[^\S\n]*\n", ""), r"(?md)^    ", ""))
-    entry = F.transform(F.arrays_zip(names.alias("k"), many.alias("m"), single.alias("s"), opened.alias("o")), lambda z: F.struct(z.k.alias("k"), F.when(z.o, value(z.m)).otherwise(T.strip(z.s)).alias("v")))
-    # the last of each name: kept where no later entry has the same name
-    last = F.filter(entry, lambda e, i: F.array_position(F.slice(F.transform(entry, lambda x: x.k), i + 2, F.greatest(F.size(entry) - i - 1, F.lit(0))), e.k) == 0)
-    return F.map_from_entries(last)
+
+    def entries(body: Column) -> Column:
+        # the whole field is cut out once; its parts are read from that short piece
+        def one(m: Column) -> Column:
+            part = lambda k: F.regexp_extract(m, FIELD, k)
+            opened = m.rlike(r"(?Umd)\A-\s+[a-z_]+:[^\S\n]*\|[^\S\n]*$")
+            return F.struct(part(1).alias("k"), F.when(opened, value(part(2))).otherwise(T.strip(part(3))).alias("v"))
+
+        return F.transform(T.extract_all(body, FIELD), one)
+
+    def last_of_each(found: Column) -> Column:
+        """Sorted by name and place, an entry counts where the next one has another name."""
+        order = F.array_sort(F.transform(found, lambda e, i: F.struct(e.k.alias("k"), i.alias("i"), e.v.alias("v"))))
+        return _once(order, lambda o: F.map_from_entries(F.transform(F.filter(o, lambda e, i: ~e.k.eqNullSafe(F.get(o, i + 1).k)), lambda e: F.struct(e.k.alias("k"), e.v.alias("v")))))
+
+    body = F.concat(F.array_join(T.split_lines(section), "\n"), F.lit("\n"))
+    return _once(body, lambda b: _once(entries(b), last_of_each))
+
+
+def _once(value: Column, then) -> Column:
+    """``then`` of a value that is worked out once, however often ``then`` reads it."""
+    return F.transform(F.array(value), then)[0]
 
 
 def rendered(rows: Column, mark: str = "docloom-normalize") -> Column:

@@ -71,3 +71,17 @@ def test_empty_tables(spark, sf_dir, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{sf_dir}/{t}.parquet").where(F.lit(False)).write.parquet(f"{tmp_path}/{t}.parquet")
     assert p.run(spark, str(tmp_path)).count() == 0
+
+
+def test_columns_of_any_name(spark, sf_dir):
+    """Each stage takes a table whose extra columns are named like the operators' own, and gives them back as they were."""
+    names = ["toxic_score", "toxic_spans", "row", "id", "nth", "key", "__id", "__key", "__ranges", "ranges", "new_text", "component_id", "kept"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id is null or doc_id < 60 or doc_id >= 900")
+    wide = docs.select("*", *(F.concat(F.lit(n), F.coalesce(F.col("doc_id"), F.lit(-1)).cast("string")).alias(n) for n in names))
+    for name, stage in p.STAGES[:-1]:
+        out = stage(spark, wide, sf_dir)
+        assert out.columns == wide.columns, name
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n}{-1 if r.doc_id is None else r.doc_id}" for r in rows for n in names)
+        assert {r.doc_id for r in rows} >= {None, 901}
+    assert p.pack(spark, wide, sf_dir).select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()

@@ -74,3 +74,23 @@ def test_packing_is_an_exact_cut(docs):
 def test_empty_table(docs):
     none = docs.where(F.lit(False))
     assert pack(none, PATH).count() == 0 and token_counts(none, PATH).count() == 0
+
+
+def test_packing_of_null_repeated_ids_and_a_very_long_text(spark):
+    """Every row's ids come out once each, also where rows share an id or have none; columns that clash with the operator's own are left behind."""
+    lib = Tokenizer.from_file(PATH)
+    long = " ".join(random_texts(60_000))
+    assert len(long) > 2 * SPLIT_CHARS
+    rows = [(None, "a b"), (None, "a b"), (7, "same"), (7, "same"), (7, "other text"), (8, None), (9, long), (10, "tail")]
+    docs = spark.createDataFrame([(d, t, 1, 2, 3) for d, t in rows], "doc_id long, text string, part int, base int, width int").repartition(3)
+    found = pack(docs, PATH)
+    assert found.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
+    stream = sorted(((r.sequence_id * 2048 + r.offset, r.start, r.doc_tokens, r.doc_id, r.ids) for r in found.collect()))
+    got, at = [], 0
+    for place, start, total, doc, ids in stream:
+        assert place == at and (start == 0 or got[-1][0] == doc)
+        at += len(ids)
+        got = [*got[:-1], (doc, got[-1][1] + ids)] if start else [*got, (doc, list(ids))]
+        assert len(got[-1][1]) <= total
+    want = [(d, [*lib.encode(t or "", add_special_tokens=False).ids, 1]) for d, t in rows]
+    assert sorted(map(str, got)) == sorted(map(str, want))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,6 +107,32 @@ def append_submissions(bodies: DataFrame, path: str, received, body: str = "body
     bodies.select(F.replace(F.replace(record, F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" ")).alias("value")).write.mode("append").text(path)
 
 
+def cached(spark: SparkSession, at: str, build: Callable[[], DataFrame], force: bool = False) -> DataFrame:
+    """A table such as page texts (page, text), whose making is dear: made once below ``at``, read from there ever after; ``force`` makes it anew."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{at}/_SUCCESS")
+    if force or not done.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(done):
+        build().write.mode("overwrite").parquet(at)
+    return spark.read.parquet(at)
+
+
+SHEET_ROWS = 1_048_575  # fixed value: what a sheet holds below its header
+
+
+def mirror_xlsx(rows: DataFrame, path: str, strict: bool = False) -> bool:
+    """The table as one sheet, for readers of spreadsheets; no more rows than a sheet holds. Without a spreadsheet library it
+    fails if ``strict``, else the mirror is left out (False)."""
+    try:
+        import openpyxl  # noqa: F401
+    except ImportError:
+        if strict:
+            raise
+        return False
+    if rows.limit(SHEET_ROWS + 1).count() > SHEET_ROWS:
+        raise ValueError("more rows than a sheet holds")
+    rows.toPandas().to_excel(path, index=False, engine="openpyxl")
+    return True
+
+
 def read_submissions(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines of questionnaire submissions, newest first; single answers become arrays of one."""
     raw = spark.read.text(path).where("trim(value) <> ''").select(F.parse_json("value").alias("v"))

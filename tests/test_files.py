@@ -67,3 +67,32 @@ def test_chunk_stream(spark, tmp_path):
         incremental.chunk_stream(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/cp", schema, "doc_id", "text", target=20).awaitTermination()
     back = spark.read.parquet(f"{tmp_path}/out")
     assert {(r.batch, r.doc_id, r.chunk_id) for r in back.collect()} == {(k, k, f"{k}_{i:03d}") for k in range(2) for i in (1, 2)}
+
+
+def test_cached_pages_and_mirror(spark, tmp_path):
+    made = []
+
+    def build():
+        made.append(1)
+        return spark.createDataFrame([(len(made), "text")], "page int, text string")
+
+    at = f"{tmp_path}/pages"
+    assert [files.cached(spark, at, build, force).first().page for force in (False, False, True, False)] == [1, 1, 2, 2] and len(made) == 2
+    try:
+        import openpyxl  # noqa: F401
+    except ImportError:
+        assert files.mirror_xlsx(build(), f"{tmp_path}/t.xlsx") is False
+        with pytest.raises(ImportError):
+            files.mirror_xlsx(build(), f"{tmp_path}/t.xlsx", strict=True)
+
+
+def test_bodies_are_appended_and_checked(spark, tmp_path):
+    at, received = f"{tmp_path}/list", F.to_timestamp(F.lit("2026-03-01T10:00:00Z"))
+    bodies = spark.createDataFrame([('{"intervieweeName": "n",\n "answers": {"a": "x"}}',), ('{}',), ('{"receivedAt": "2026-04-01T00:00:00Z"}',)], "body string")
+    files.append_submissions(bodies, at, received)
+    files.append_submissions(bodies.limit(1), at, received)
+    got = [(r.receivedAt, r.intervieweeName) for r in files.read_submissions(spark, at).collect()]
+    assert got[0] == ("2026-04-01T00:00:00Z", None) and sorted(got[1:], key=str) == sorted([("2026-03-01T10:00:00.000Z", "n")] * 2 + [("2026-03-01T10:00:00.000Z", None)], key=str)
+    for bad in ("[1]", "{", "text"):
+        with pytest.raises(Exception, match="invalid body"):
+            files.append_submissions(spark.createDataFrame([(bad,)], "body string"), at, received)

@@ -28,7 +28,7 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -290,10 +290,12 @@ def without_copies(texts: list[tuple[list[str], int]]) -> list[tuple[list[str],
     return out
 
 
-def fit(rows: list[tuple[str, int]], share: float) -> Model:
-    """rows (text, toxic); share: of toxic labels among all training labels."""
+def fit(rows: Iterable[tuple[str, int]], share: float) -> Model:
+    """rows (text, toxic), read once; share: of toxic labels among all training labels."""
     model = Model(share=share)
-    texts = without_copies([(words_of(t or ""), y) for t, y in rows])
+    pool: dict[str, str] = {}  # a word that many texts hold is one object
+    texts = without_copies([([pool.setdefault(w, w) for w in words_of(t or "")], y) for t, y in rows])
+    del rows, pool
     bags = {y: [set(ws) for ws, z in texts if z == y] for y in (0, 1)}
     if not bags[0] or not bags[1]:
         return model
@@ -330,7 +332,7 @@ def fold(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[tuple[str, int]], float]:
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Iterator[tuple[str, int]], float]:
     """Up to ``sample`` labelled rows of each class outside the held-out fold, by the order of a hash."""
     known = labels.where("doc_id is not null and toxic is not null").where(fold(F.col("doc_id")) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     total, toxic = known.agg(F.count("*"), F.coalesce(F.sum((F.col("toxic") == 1).cast("long")), F.lit(0))).first()
@@ -340,7 +342,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> t
         part = known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         chosen = part if chosen is None else chosen.unionByName(part)
     rows = found.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.first("toxic").alias("toxic"))  # 2 * sample small rows
-    return [(r.text, int(r.toxic)) for r in rows.orderBy("doc_id").collect()], (toxic / total if total else 0.0)
+    held = rows.orderBy("doc_id").select("text", F.col("toxic").cast("int").alias("toxic")).toArrow()
+    return ((text.as_py(), y.as_py()) for text, y in zip(held.column(0), held.column(1))), (toxic / total if total else 0.0)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:

@@ -40,7 +40,7 @@ SKETCH_K = 64  # retained values for the union-sketch estimate
 OVERLAP = 12  # of INDEX_K: what similar sets share at least
 ESTIMATE = 0.5  # least union-sketch estimate, 4.6 standard deviations below the threshold
 PIVOTS = 2
-BLOCK = 400
+BLOCK = 256
 BLOCK_BYTES = 1 << 20
 
 

@@ -180,11 +180,13 @@ def window_keys(words: Words, sieve: Sieve) -> Iterator[tuple[np.ndarray, np.nda
     n_words = words.counts()
     for walk in range(WALKS):
         way = ways[walk % 2]
-        at, step = way.slot, 0
+        at, step, low = way.slot, 0, way.low[way.slot]
         tables = sorted((positions(c, walk, k), c, table_number(c, walk, k)) for c in sieve.classes for k in range(TABLES))
         for places, c, number in tables:
-            at, step = way.go(at, way.end, walk, step, places[0]), places[0]
-            rows = np.flatnonzero(sieve.first[number][way.low[at]])
+            if places[0] > step:
+                at, step = way.go(at, way.end, walk, step, places[0]), places[0]
+                low = way.low[at]
+            rows = np.flatnonzero(np.take(sieve.first[number], low))
             here, key = at[rows], np.uint64(number)
             key = longer(np.full(len(rows), number, np.uint64), way.word[here])
             for t, p in zip(places, places[1:]):

@@ -78,9 +78,25 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from docloom.llm.alignment import PIECES, alignment
+
+    return alignment(table(spark, sf_dir, "documents"), _tokenizer(), public_tokenizers.path(PIECES))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.fim import digests
+
+    return digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_packing, op3_toxicity, op4_substring_dedup, op5_token_counts, op6_near_dup, op7_ann, op8_html_text, op9_decontamination, op10_sharding)}
+    return {f.__name__: f for f in (op1_warc, op2_packing, op3_toxicity, op4_substring_dedup, op5_token_counts, op6_near_dup, op7_ann, op8_html_text, op9_decontamination, op10_sharding, op11_alignment, op12_fill_in_middle)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from docloom.llm.fim import SQL
+
+    return {"op12_fill_in_middle": SQL}

@@ -92,8 +92,14 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.group_join import jaccard_join
+
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_packing, op3_toxicity, op4_substring_dedup, op5_token_counts, op6_near_dup, op7_ann, op8_html_text, op9_decontamination, op10_sharding, op11_alignment, op12_fill_in_middle)}
+    return {f.__name__: f for f in (op1_warc, op2_packing, op3_toxicity, op4_substring_dedup, op5_token_counts, op6_near_dup, op7_ann, op8_html_text, op9_decontamination, op10_sharding, op11_alignment, op12_fill_in_middle, op13_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -97,16 +97,20 @@ def snippets(c, width: int, step: int = 8) -> Column:
     return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last, F.lit(step)), lambda i: F.substring(c, i + 1, F.lit(width)))).otherwise(F.array().cast("array<string>"))
 
 
-def first_integer(c) -> Column:
-    """The first run of digits as a number, else null; full-width digits count."""
-    digits = F.regexp_extract(col(c), r"(?U)\d+", 0)
+def integer(digits: Column) -> Column:
+    """A run of digits of any script as a number; null for none and for more than 18."""
     plain = F.translate(digits, "".join(map(chr, range(0xFF10, 0xFF1A))), "0123456789")
     return F.try_to_number(F.nullif(plain, F.lit("")), F.lit("999999999999999999")).cast("long")
 
 
+def first_integer(c) -> Column:
+    """The first run of digits as a number, else null."""
+    return integer(F.regexp_extract(col(c), r"(?U)\d+", 0))
+
+
 def page_marker(c) -> Column:
     """The number after "p." or null."""
-    return F.nullif(F.regexp_extract(col(c), r"(?U)p\.\s*(\d+)", 1), F.lit("")).cast("int")
+    return integer(F.regexp_extract(col(c), r"(?U)p\.\s*(\d+)", 1))
 
 
 def after_last(c, mark: str) -> Column:

@@ -21,7 +21,8 @@ FIELD = r"(?Umd)^-\s+([a-z_]+):[^\S\n]*(?:\|[^\S\n]*\n((?:    [^\n]*\n|[^\S\n]*\
 
 def chunk_blocks(texts: DataFrame, key: str, text: str, opening: str = OPEN, closing: str = CLOSE) -> DataFrame:
     """(key, n, chunk_id, block_hash, start_line, end_line, body): what stands between an opening mark and the last
-    closing mark of the same id, if that comes later. A text is split at its marks once, and bodies are put together from the pieces."""
+    closing mark of the same id, if that comes later. A text is split at its marks once, and bodies are put together from the pieces. Line numbers that
+    are too long are null."""
     both = f"(?:{opening})|(?:{closing})"
     pieces = F.arrays_zip(F.split(F.col(text), both, -1).alias("piece"), T.extract_all(text, both).alias("mark"))
 
@@ -33,7 +34,7 @@ def chunk_blocks(texts: DataFrame, key: str, text: str, opening: str = OPEN, clo
             back = F.array_position(z.closed, group(1)).cast("int")  # from the last mark
             to = F.when(back > 0, F.size(z.marks) - back)
             body = F.when(to > o["at"], F.array_join(F.slice(z.parts, 2 * o["at"] + 3, 2 * (to - o["at"]) - 1), ""))
-            return F.struct(n.alias("n"), group(1).alias("chunk_id"), group(2).alias("block_hash"), group(3).cast("int").alias("start_line"), group(4).cast("int").alias("end_line"), body.alias("body"))
+            return F.struct(n.alias("n"), group(1).alias("chunk_id"), group(2).alias("block_hash"), T.integer(group(3)).alias("start_line"), T.integer(group(4)).alias("end_line"), body.alias("body"))
 
         return F.filter(F.transform(opens, one), lambda b: b.body.isNotNull())
 

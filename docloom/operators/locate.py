@@ -5,8 +5,8 @@ with the least hash; a page lists the least of every such span, so a page that h
 minimiser. Candidates are verified by containment. The join grows with the text, not with snippets times pages, and Catalyst
 broadcasts a side only if its measured size allows it.
 
-The choice of column and width needs no hint (a vote is positive or absent), so only the carried page is sequential:
-one fold per manual over its few table rows.
+The choice of column and width needs no hint (a vote is positive or absent), so only the carried page is sequential: a scan over parts of the
+table rows, in ``carried``.
 """
 
 from __future__ import annotations
@@ -19,14 +19,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
+from docloom.operators.carried import CANDIDATES, REACH, carried, near_hints
 
 WIDTHS = [50, 30, 18]
 STEP = 8
 SPAN = 18
 GRAM = 10
-NEAR, NEAR_WEIGHT = 8, 2.5
-FAR, FAR_WEIGHT = 60, 0.15
-REACH = 29
 MIN_CHARS = 8
 
 
@@ -89,19 +87,6 @@ def best_tier(voted: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return voted.join(first, keys).where(F.struct(*order) == F.col("__first")).drop("__first")
 
 
-def weight(page: Column, hint: Column) -> Column:
-    d = F.abs(page - hint)
-    return F.when(hint.isNotNull() & (d <= NEAR), NEAR_WEIGHT).when(hint.isNotNull() & (d > FAR), FAR_WEIGHT).otherwise(1.0)
-
-
-def choose(candidates: Column, hint: Column) -> Column:
-    """The best page of array<struct(page, hits, first_start)>: most votes, then nearest to the hint, then first seen."""
-    ranked = F.transform(
-        candidates, lambda c: F.struct((-c.hits * weight(c.page, hint)).alias("score"), F.abs(c.page - F.coalesce(hint, F.lit(0))).alias("away"), c.first_start.alias("start"), c.page.alias("page"))
-    )
-    return F.array_min(ranked).page
-
-
 def nearest_hint(rows: DataFrame, group: list[str], order: list[str], parent: str, page: str, reach: int = REACH) -> Column:
     """The page of the nearest other row with one, rows of the same parent first, the earlier row first."""
     w = Window.partitionBy(*group).orderBy(*order)
@@ -112,26 +97,6 @@ def nearest_hint(rows: DataFrame, group: list[str], order: list[str], parent: st
     return rows.withColumn("__at", at).withColumn("hint", F.array_min(ranked).page).drop("__at")
 
 
-def carried(rows: DataFrame, group: list[str], order: str, candidates: str = "candidates", kept: str = "kept", hint: str = "hint") -> DataFrame:
-    """(group, order, page, previous, by): the fold over a manual's rows.
-
-    A row that already names a page keeps it (null if its number cannot be read) and passes it on; else its candidates decide, else the hint. ``by`` tells kept, text and hint rows apart.
-    """
-    out = f"array<struct<at:{rows.schema[order].dataType.simpleString()},page:bigint,previous:bigint,by:string>>"
-    items = F.sort_array(F.collect_list(F.struct(F.col(order).alias("at"), F.col("has_page").alias("has"), F.col(kept).cast("long").alias("kept"), F.col(hint).cast("long").alias("hint"), F.col(candidates).alias("c"))))
-
-    def step(s: Column, x: Column) -> Column:
-        h = F.coalesce(F.nullif(s.prev, F.lit(0)), x.hint)
-        found = F.when(F.size(x.c) > 0, choose(x.c, h)).cast("long")
-        page = F.when(x.has, x.kept).otherwise(F.coalesce(found, h))
-        by = F.when(x.has, "kept").when(found.isNotNull(), "text").when(h.isNotNull(), "hint").otherwise("none")
-        return F.struct(F.coalesce(page, s.prev).alias("prev"), F.concat(s.out, F.array(F.struct(x["at"].alias("at"), page.alias("page"), s.prev.alias("previous"), by.alias("by")))).alias("out"))
-
-    start = F.struct(F.lit(None).cast("long").alias("prev"), F.array().cast(out).alias("out"))
-    folded = rows.groupBy(*group).agg(items.alias("__items")).select(*group, F.explode(F.aggregate("__items", start, step, lambda s: s.out)).alias("r"))
-    return folded.select(*group, F.col("r.at").alias(order), "r.page", "r.previous", "r.by")
-
-
 def assign_pages(table: DataFrame, pages: DataFrame, group: str, order: str, searched: list[str], source: str = "source", parent: str = "parent_code") -> DataFrame:
     """The table with its ``source`` column tagged and ``page_by`` (kept, text, hint, none): which rows were found by text.
 
@@ -145,11 +110,10 @@ def assign_pages(table: DataFrame, pages: DataFrame, group: str, order: str, sea
     keys = [group, order, "nth", "tier"]
     voted = votes(snippet_hits(needle_snippets(asked, [group, order, "nth"], "text"), keyed, [group]), keys)
     best = best_tier(voted, [group, order], ["nth", "tier"]).groupBy(group, order).agg(F.collect_list(F.struct("page", "hits", "first_start")).alias("candidates"))
-    numbered = table.withColumns({"has_page": F.contains(own, F.lit("p.")), "kept": T.page_marker(source), "__own": T.first_integer(T.after_last(source, "p. ")).cast("int")})
-    hinted = nearest_hint(numbered, [group], [order], parent, "__own").join(best, [group, order], "left")
-    empty = F.array().cast("array<struct<page:bigint,hits:bigint,first_start:int>>")
-    rows = hinted.withColumn("candidates", F.coalesce(F.col("candidates").cast("array<struct<page:bigint,hits:bigint,first_start:int>>"), empty))
-    placed = carried(rows, [group], order).withColumnsRenamed({"page": "__page", "previous": "__previous", "by": "page_by"})
+    numbered = table.withColumns({"has_page": F.contains(own, F.lit("p.")), "kept": T.page_marker(source), "__own": T.first_integer(T.after_last(source, "p. "))})
+    hinted = near_hints(numbered.select(group, order, parent, "has_page", "kept", "__own"), group, [order], parent, "__own").join(best, [group, order], "left")
+    rows = hinted.withColumn("candidates", F.coalesce(F.col("candidates").cast(CANDIDATES), F.array().cast(CANDIDATES)))
+    placed = carried(rows, group, order).withColumnsRenamed({"page": "__page", "previous": "__previous", "by": "page_by"})
     tag = T.page_tag("__previous", "__page")
     tagged = table.join(placed, [group, order])
     new = F.when((F.col("page_by") == "kept") | F.col("__page").isNull(), F.col(source)).otherwise(T.with_tag(own, tag))

@@ -20,18 +20,24 @@ def ordered(value: str | Column, *order: str) -> Column:
     return F.transform(F.sort_array(F.collect_list(item)), lambda s: s.v)
 
 
-def merge_groups(rows: DataFrame, keys: list[str], order: list[str], fields: dict[str, list[str]], sep: str = "\n\n") -> DataFrame:
+def merge_groups(rows: DataFrame, keys: list[str], order: list[str], fields: dict[str, list[str]], sep: str | dict[str, str] = "\n\n") -> DataFrame:
     """One row per key in the order of first appearance (column ``first_at``).
 
-    ``fields`` maps an output column to the input fields merged into it: row by row, and within a row in the
-    order given. All fields are gathered by one aggregate, so there is one shuffle.
+    ``fields`` maps an output column to the input fields merged into it: row by row, and within a row in the order given. ``sep`` joins values, by column if
+    a dictionary is given. Repeats are counted out first, each value at its first place, so what a group gathers is its distinct values, not its rows.
     """
-    names = sorted({f for fs in fields.values() for f in fs})
-    item = F.struct(*(F.col(o).alias(f"o{i}") for i, o in enumerate(order)), *(F.coalesce(F.col(n), F.lit("")).alias(n) for n in names))
-    grouped = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("__rows"), F.min(F.struct(*order)).alias("first_at"))
-    values = lambda fs: F.flatten(F.transform("__rows", lambda r: F.array(*(r[f] for f in fs))))
-    out = {c: merged(values(fs), sep) for c, fs in fields.items()}
-    return grouped.select(*keys, "first_at", *(v.alias(c) for c, v in out.items()))
+    value = lambda f: T.strip(F.coalesce(F.col(f), F.lit("")))
+    entries = [F.struct(F.lit(c).alias("c"), F.lit(k).alias("k"), value(f).alias("v")) for c, fs in fields.items() for k, f in enumerate(fs)]
+    mark = F.struct(F.lit("").alias("c"), F.lit(0).alias("k"), F.lit("").alias("v"))  # keeps groups without any value, and their first place
+    kept = F.filter(F.array(mark, *entries), lambda e: (e.c == "") | (e.v != ""))
+    place = F.struct(*(F.col(o).alias(f"o{i}") for i, o in enumerate(order)))
+    each = rows.select(*keys, place.alias("__at"), F.explode(kept).alias("__e"))
+    first = each.groupBy(*keys, F.col("__e.c").alias("__c"), F.col("__e.v").alias("__v")).agg(F.min(F.struct("__at", F.col("__e.k").alias("k"))).alias("__at"))
+    of = lambda c, what: F.when(F.col("__c") == c, what)
+    whole = first.groupBy(*keys).agg(F.min(of("", F.col("__at.__at"))).alias("first_at"), *(F.sort_array(F.collect_list(of(c, F.struct("__at", "__v")))).alias(c) for c in fields))
+    joint = lambda c: sep[c] if isinstance(sep, dict) else sep
+    first_at = F.struct(*(F.col(f"first_at.o{i}").alias(o) for i, o in enumerate(order)))
+    return whole.select(*keys, first_at.alias("first_at"), *(F.array_join(F.transform(c, lambda e: e["__v"]), joint(c)).alias(c) for c in fields))
 
 
 def capped_lines(c, n: int = 4) -> Column:

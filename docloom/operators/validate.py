@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from docloom.functions import patterns as P
 from docloom.functions import text as T
+from docloom.operators.intervals import range_texts
 
+# --- fixed values: message texts and field names
 UNKNOWN_CHUNK = "chunk_id not present in current index"
 NO_OUTPUT = "no normalized output yet"
 DOCUMENT_FIELDS = ["mandatory_documents", "common_documents", "other_documents"]
+# --- end of fixed values
 
 
 def listed(values: Column) -> Column:
@@ -24,14 +27,14 @@ def invented(claimed: Column, source: Column) -> Column:
 
 
 def with_source(blocks: DataFrame, index: DataFrame, lines: DataFrame, key: str) -> DataFrame:
-    """Blocks with their chunk's index entry (left) and source text, sliced from the manual's line array.
+    """Blocks with their chunk's index entry (left) and source text, the lines (key, line_no, line) that the index names.
 
-    Adds content_hash (null for an unknown chunk), hash_drift and source. The slice takes the lines the index names.
-    """
+    Adds content_hash (null for an unknown chunk), hash_drift and source. Texts are put together once per chunk that a block cites."""
     known = index.select(key, "chunk_id", "content_hash", F.col("start_line").alias("__a"), F.col("end_line").alias("__b"))
-    joined = blocks.join(known, [key, "chunk_id"], "left").join(lines.select(key, F.col("lines").alias("__lines")), key, "left")
-    text = F.array_join(F.slice("__lines", F.col("__a"), F.col("__b") - F.col("__a") + 1), "\n")
-    return joined.withColumns({"hash_drift": ~F.col("content_hash").eqNullSafe(F.col("block_hash")), "source": F.coalesce(text, F.lit(""))}).drop("__a", "__b", "__lines")
+    cited = known.join(blocks.select(key, "chunk_id").distinct(), [key, "chunk_id"], "left_semi")
+    texts = range_texts(cited, lines, key, [key, "chunk_id"], "__a", "__b").select(key, "chunk_id", F.col("text").alias("source"))
+    joined = blocks.join(known.drop("__a", "__b"), [key, "chunk_id"], "left").join(texts, [key, "chunk_id"], "left")
+    return joined.withColumns({"hash_drift": ~F.col("content_hash").eqNullSafe(F.col("block_hash")), "source": F.coalesce("source", F.lit(""))})
 
 
 def row_issues(fields: Column, source: Column, required: list[str] = P.REQUIRED_FIELDS, code: str = P.CODE, amount: str = P.AMOUNT, document: str = P.DOCUMENT) -> Column:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import patterns as P
 from docloom.functions import text as T
+from docloom.operators.carried import numbered
 from docloom.operators.enrich import override_lookup
 from docloom.operators.rollup import capped_lines, merge_groups, merged
 from docloom.operators.rules import route_table, split_duration
+from docloom.sources.files import scratch
 
 
 def final_table(rows: DataFrame, subs: DataFrame, parents: DataFrame, key: str = "manual_key") -> DataFrame:
@@ -26,9 +28,8 @@ def final_table(rows: DataFrame, subs: DataFrame, parents: DataFrame, key: str =
     ).where("visa_code <> '' and petition_type <> ''")
     direct = {c: [f"f_{f}" for f, to in P.DIRECT.items() if to == c] for c in dict.fromkeys(P.DIRECT.values())}
     single = {f"m_{n}": [f"f_{n}"] for n in ("duration_or_validity", "table_summary", "table_rows", "section_title", *(f for _, f in P.DOCUMENT_SECTIONS))}
-    grouped = merge_groups(flat, ["__key", "visa_code", "petition_type"], ["chunk_no", "row_index"], direct | single)
-    asked = merge_groups(flat, ["__key", "visa_code", "petition_type"], ["chunk_no", "row_index"], {"m_questions": ["f_expected_questions"]}, "\n").drop("first_at")
-    g = grouped.join(asked, ["__key", "visa_code", "petition_type"])
+    merges = direct | single | {"m_questions": ["f_expected_questions"]}
+    g = merge_groups(flat, ["__key", "visa_code", "petition_type"], ["chunk_no", "row_index"], merges, {c: "\n" if c == "m_questions" else "\n\n" for c in merges})
     g = g.withColumns(split_duration("m_duration_or_validity"))
     blob = F.concat_ws("\n\n", F.nullif("m_table_summary", F.lit("")), F.nullif("m_table_rows", F.lit("")))
     g = g.withColumns({"__blob": blob, "__to": F.when(blob != "", route_table(blob))})
@@ -44,5 +45,6 @@ def final_table(rows: DataFrame, subs: DataFrame, parents: DataFrame, key: str =
         }
     )
     g = override_lookup(g, "__sub_code", "parent_code", subs, parents, P.FLOW)
-    order = F.row_number().over(Window.partitionBy("__key").orderBy("first_at"))
-    return g.select(F.col("__key").alias(key), order.alias("row_no"), *(F.coalesce(F.col(c), F.lit("")).alias(c) for c in P.COLUMNS))
+    named = g.select("__key", "first_at", *(F.coalesce(F.col(c), F.lit("")).alias(c) for c in P.COLUMNS))
+    placed = numbered(named, "__key", ["first_at"], scratch(rows.sparkSession), "row_no")  # prefix sums: there are few keys
+    return placed.select(F.col("__key").alias(key), "row_no", *P.COLUMNS)

@@ -331,7 +331,7 @@ def hint_weighted_vote(t, spark):
     cands = _tier_votes(t).groupBy("item_id").agg(F.collect_list(F.struct(F.col("page").cast("long").alias("page"), "hits", F.col("first_start").cast("int").alias("first_start"))).alias("candidates"))
     empty = F.array().cast("array<struct<page:bigint,hits:bigint,first_start:int>>")
     rows = t("benchmark").select("item_id", manual.alias("manual")).join(cands, "item_id", "left").withColumns({"candidates": F.coalesce("candidates", empty), "has_page": F.lit(False), "kept": F.lit(None).cast("long"), "hint": F.lit(None).cast("long")})
-    placed = locate.carried(rows, ["manual"], "item_id").where("page is not null")
+    placed = locate.carried(rows, "manual", "item_id").where("page is not null")
     return placed.select("manual", "item_id", "page", T.page_tag("previous", "page").alias("tag"))
 
 

@@ -10,7 +10,7 @@ from docloom.functions import text as T
 from docloom.operators import blocks, chunk, locate, quality, validate
 from docloom.plans.compile import final_table
 from docloom.plans.queries import SPACES, _LINES_SQL, _hash_sql, document_chunks, joined, part_blocks, query
-from docloom.sources import files
+from docloom.sources import files, submissions
 
 # --- chunk index --------------------------------------------------------------------------------
 
@@ -110,10 +110,11 @@ def _best(hint: str) -> str:
 
 
 _SOURCE = "case item_id % 6 when 0 then 'see p. ' || (item_id * 7 % 50) when 1 then ' sec 3 ' when 2 then '' when 3 then 'p.x' when 4 then 'part' else 'Chapter ' || item_id end"
-_ATTACHED = f"""with recursive t as (select item_id, item_id // {_ROWS_A_MANUAL} as manual, 'A' || (item_id % 3) as parent_code, text as eligibility, {_SOURCE} as source from benchmark),
+def attached_sql(rows_a_manual: int) -> str:
+    return f"""with recursive t as (select item_id, item_id // {rows_a_manual} as manual, 'A' || (item_id % 3) as parent_code, text as eligibility, {_SOURCE} as source from benchmark),
   n as (select item_id, manual, 0 as nth, trim(eligibility) as raw from t union all select item_id, manual, 1, trim(source) from t),
   k as materialized (select n.item_id, n.manual, nth, regexp_replace(nfc_normalize(raw), '{_NOISE}', '', 'g') as k from n join t using (item_id) where len(raw) >= 8 and not contains(source, 'p.')),
-  d as materialized (select doc_id, doc_id % (select max(item_id) // {_ROWS_A_MANUAL} + 1 from benchmark) as manual, regexp_replace(nfc_normalize(text), '{_NOISE}', '', 'g') as k from documents),
+  d as materialized (select doc_id, doc_id % (select max(item_id) // {rows_a_manual} + 1 from benchmark) as manual, regexp_replace(nfc_normalize(text), '{_NOISE}', '', 'g') as k from documents),
   s as (select item_id, manual, nth, tier, unnest(range(0, len(k) - width + 1, 8)) as pos, width, k from k join (values (0, 50), (1, 30), (2, 18)) w(tier, width) on len(k) >= width),
   sn as materialized (select item_id, manual, nth * 3 + tier as rank, pos, substr(k, pos + 1, width) as snippet from s),
   a as materialized (select item_id, rank, doc_id, count(*) as hits, min(pos) as first_start from sn join d on sn.manual = d.manual and contains(d.k, sn.snippet) group by 1, 2, 3),
@@ -130,14 +131,20 @@ _ATTACHED = f"""with recursive t as (select item_id, item_id // {_ROWS_A_MANUAL}
   select g.item_id, case when page_by = 'kept' or page is null then source when trim(source) = '' then tag else trim(source) || ' (' || tag || ')' end as source, page_by from g join t using (item_id)"""
 
 
-@query(_ATTACHED)
-def attached_pages(t, spark):
-    """Rows of manuals of ``_ROWS_A_MANUAL`` items each get the pages on which their text or their source stands: three widths, columns in order, kept pages, hints, the carried page."""
+def benchmark_rows(t, rows_a_manual: int) -> tuple[DataFrame, DataFrame]:
+    """Items as the rows of manuals of ``rows_a_manual`` items each, and documents as the manuals' pages."""
     kind = F.col("item_id") % 6
     source = F.when(kind == 0, F.concat(F.lit("see p. "), (F.col("item_id") * 7 % 50).cast("string"))).when(kind == 1, " sec 3 ").when(kind == 2, "").when(kind == 3, "p.x").when(kind == 4, "part").otherwise(F.concat(F.lit("Chapter "), F.col("item_id").cast("string")))
-    rows = t("benchmark").select("item_id", F.floor(F.col("item_id") / _ROWS_A_MANUAL).alias("manual"), F.concat(F.lit("A"), (F.col("item_id") % 3).cast("string")).alias("parent_code"), F.col("text").alias("eligibility"), source.alias("source"))
-    manuals = t("benchmark").agg((F.floor(F.max("item_id") / _ROWS_A_MANUAL) + 1).alias("manuals"))  # one row
+    rows = t("benchmark").select("item_id", F.floor(F.col("item_id") / rows_a_manual).alias("manual"), F.concat(F.lit("A"), (F.col("item_id") % 3).cast("string")).alias("parent_code"), F.col("text").alias("eligibility"), source.alias("source"))
+    manuals = t("benchmark").agg((F.floor(F.max("item_id") / rows_a_manual) + 1).alias("manuals"))  # one row
     pages = t("documents").join(F.broadcast(manuals)).select((F.col("doc_id") % F.col("manuals")).alias("manual"), F.col("doc_id").alias("page"), "text")
+    return rows, pages
+
+
+@query(attached_sql(_ROWS_A_MANUAL))
+def attached_pages(t, spark):
+    """Rows of manuals of ``_ROWS_A_MANUAL`` items each get the pages on which their text or their source stands: three widths, columns in order, kept pages, hints, the carried page."""
+    rows, pages = benchmark_rows(t, _ROWS_A_MANUAL)
     return locate.assign_pages(rows, pages, "manual", "item_id", ["eligibility"]).select("item_id", "source", "page_by")
 
 
@@ -260,13 +267,13 @@ def _region_lines(spark, path: str) -> DataFrame:
   y as (select *, case when conv_id % 3 = 0 then '2026-02-01T00:00:00Z' else '2026-01-01T00:00:00.000Z' end as received from x)
   select conv_id, received, turns as seconds, array_to_string(roles, ', ') as who from y""")
 def submission_list(t, spark):
-    """Bodies are appended with the time of receipt, which a body of its own may replace, and read back, newest first."""
+    """Bodies are appended with the time of receipt, which a body of its own may replace, and read back, newest inserted first."""
     at = files.scratch(spark)
     said = t("conversations").groupBy("conv_id").agg(F.sort_array(F.collect_set("role")).alias("roles"), F.max("turn").alias("turns"))
     own = F.when(F.col("conv_id") % 3 == 0, F.lit("2026-02-01T00:00:00Z"))
     body = F.to_json(F.struct(F.col("conv_id").cast("string").alias("intervieweeName"), F.col("turns").alias("durationSeconds"), own.alias("receivedAt"), F.struct(F.col("roles").alias("who")).alias("answers")))
-    files.append_submissions(said.select(body.alias("body")), f"{at}/list", F.to_timestamp(F.lit("2026-01-01T00:00:00Z")))
-    back = files.read_submissions(spark, f"{at}/list")
+    submissions.append(said.select("conv_id", body.alias("body")), at, ["conv_id"], F.to_timestamp(F.lit("2026-01-01T00:00:00Z")))
+    back = submissions.read_range(spark, at)
     return back.select(F.col("intervieweeName").cast("long").alias("conv_id"), F.col("receivedAt").alias("received"), F.col("durationSeconds").alias("seconds"), F.array_join(F.col("answers")["who"], ", ").alias("who"))
 
 

@@ -16,12 +16,32 @@ KEYWORDS = {"사증": "visa", "체류": "stay"}  # fixed values: what a file's n
 
 def scratch(spark: SparkSession) -> str:
     """A fresh folder below the folder that driver and executors share; a local master may do without naming one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.sparkContext._jsc.sc().getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or (named.get() if named.isDefined() else None)
     if base is None and not spark.sparkContext.master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return f"{(base or '/tmp/docloom-shared').rstrip('/')}/files-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, at: str) -> DataFrame:
+    """The rows written as Parquet and read back: what several steps read is made once, and outlives executors."""
+    df.write.mode("overwrite").parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def filesystem(spark: SparkSession, at: str):
+    """(file system, path) of Spark's own reading of a path."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete written tables that no result reads any more."""
+    for at in paths:
+        fs, path = filesystem(spark, at)
+        fs.delete(path, True)
+
+
 def catalogue(spark: SparkSession, sections: list[dict]) -> DataFrame:
     """(section, place, id, kind, title, optional, options) of a questionnaire's sections, one row per question in order."""
     option = "struct<value:string,label:string>"
@@ -96,17 +116,6 @@ def write_report(report: DataFrame, path: str) -> None:
     text.write.mode("overwrite").text(path)
 
 
-def append_submissions(bodies: DataFrame, path: str, received, body: str = "body") -> None:
-    """Adds JSON object bodies to the list with the time they were received at; a body's own ``receivedAt`` takes its place. Other bodies fail."""
-    at = F.date_format(F.to_utc_timestamp(received, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    text = F.trim(F.col(body))
-    inner = F.trim(F.substring(text, F.lit(2), F.length(text) - 2))
-    stamp = F.when(F.get_json_object(body, "$.receivedAt").isNotNull(), F.lit("")).otherwise(F.concat(F.lit('"receivedAt":"'), at, F.lit('"'), F.when(inner == "", "").otherwise(",")))
-    ok = F.try_parse_json(text).isNotNull() & text.startswith("{")
-    record = F.when(ok, F.concat(F.lit("{"), stamp, inner, F.lit("}"))).otherwise(F.raise_error(F.lit("invalid body")).cast("string"))
-    bodies.select(F.replace(F.replace(record, F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" ")).alias("value")).write.mode("append").text(path)
-
-
 def cached(spark: SparkSession, at: str, build: Callable[[], DataFrame], force: bool = False) -> DataFrame:
     """A table such as page texts (page, text), whose making is dear: made once below ``at``, read from there ever after; ``force`` makes it anew."""
     done = spark._jvm.org.apache.hadoop.fs.Path(f"{at}/_SUCCESS")
@@ -131,13 +140,3 @@ def mirror_xlsx(rows: DataFrame, path: str, strict: bool = False) -> bool:
         raise ValueError("more rows than a sheet holds")
     rows.toPandas().to_excel(path, index=False, engine="openpyxl")
     return True
-
-
-def read_submissions(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines of questionnaire submissions, newest first; single answers become arrays of one."""
-    raw = spark.read.text(path).where("trim(value) <> ''").select(F.parse_json("value").alias("v"))
-    field = lambda p, t: F.try_variant_get("v", p, t)
-    texts = F.from_json(F.to_json(F.variant_get("v", "$.answers", "variant")), "map<string,string>")
-    lists = F.transform_values(texts, lambda k, x: F.when(x.startswith("["), F.from_json(x, "array<string>")).otherwise(F.array(x)))
-    rows = raw.select(*(field(f"$.{c}", "string").alias(c) for c in ("receivedAt", "intervieweeName", "submittedAt", "startedAt")), field("$.durationSeconds", "bigint").alias("durationSeconds"), lists.alias("answers"))
-    return rows.orderBy(F.desc("receivedAt"))

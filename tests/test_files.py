@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom.operators import forms
-from docloom.sources import files
+from docloom.sources import files, submissions
 from docloom.streaming import incremental
 
 
@@ -45,12 +45,11 @@ def test_stale(spark):
 
 
 def test_submissions_and_forms(spark, tmp_path):
-    (tmp_path / "s.jsonl").write_text(
-        '{"receivedAt": "2026-01-01T00:00:00Z", "intervieweeName": "n", "durationSeconds": 61, "answers": {"q1": "yes", "q2": ["a", "b"], "q3": ""}}\n{"receivedAt": "2026-01-02T00:00:00Z", "answers": {}}\n'
-    )
-    rows = files.read_submissions(spark, f"{tmp_path}/s.jsonl")
+    bodies = [(1, '{"receivedAt": "2026-01-03T00:00:00Z", "intervieweeName": "n", "durationSeconds": 61, "answers": {"q1": "yes", "q2": ["a", "b"], "q3": ""}}'), (2, '{"receivedAt": "2026-01-02T00:00:00Z", "answers": {}}')]
+    submissions.append(spark.createDataFrame(bodies, "n int, body string"), f"{tmp_path}/log", ["n"], F.current_timestamp())
+    rows = submissions.read_range(spark, f"{tmp_path}/log")
     got = rows.collect()
-    assert [r.receivedAt[:10] for r in got] == ["2026-01-02", "2026-01-01"]
+    assert [r.receivedAt[:10] for r in got] == ["2026-01-02", "2026-01-03"]
     assert got[1].answers == {"q1": ["yes"], "q2": ["a", "b"], "q3": [""]} and got[1].durationSeconds == 61
     labels = F.create_map(F.lit("a"), F.lit("Apple"))
     shown = rows.select(
@@ -84,15 +83,3 @@ def test_cached_pages_and_mirror(spark, tmp_path):
         assert files.mirror_xlsx(build(), f"{tmp_path}/t.xlsx") is False
         with pytest.raises(ImportError):
             files.mirror_xlsx(build(), f"{tmp_path}/t.xlsx", strict=True)
-
-
-def test_bodies_are_appended_and_checked(spark, tmp_path):
-    at, received = f"{tmp_path}/list", F.to_timestamp(F.lit("2026-03-01T10:00:00Z"))
-    bodies = spark.createDataFrame([('{"intervieweeName": "n",\n "answers": {"a": "x"}}',), ('{}',), ('{"receivedAt": "2026-04-01T00:00:00Z"}',)], "body string")
-    files.append_submissions(bodies, at, received)
-    files.append_submissions(bodies.limit(1), at, received)
-    got = [(r.receivedAt, r.intervieweeName) for r in files.read_submissions(spark, at).collect()]
-    assert got[0] == ("2026-04-01T00:00:00Z", None) and sorted(got[1:], key=str) == sorted([("2026-03-01T10:00:00.000Z", "n")] * 2 + [("2026-03-01T10:00:00.000Z", None)], key=str)
-    for bad in ("[1]", "{", "text"):
-        with pytest.raises(Exception, match="invalid body"):
-            files.append_submissions(spark.createDataFrame([(bad,)], "body string"), at, received)

@@ -191,7 +191,7 @@ def test_validation(spark):
     assert row[1].x == ["missing required fields: ['item_type', 'manual_type', 'section_title', 'subsection_type']", "visa_code/stay_status_code value empty"]
     blocks_df = spark.createDataFrame([("m", "c1", "aa"), ("m", "c2", "bb"), ("m", "c9", "cc")], "k string, chunk_id string, block_hash string")
     index = spark.createDataFrame([("m", "c1", "aa", 1, 2), ("m", "c2", "xx", 3, 3)], "k string, chunk_id string, content_hash string, start_line int, end_line int")
-    lines = spark.createDataFrame([("m", ["a", "b", "c"])], "k string, lines array<string>")
+    lines = spark.createDataFrame([("m", i + 1, x) for i, x in enumerate("abc")], "k string, line_no int, line string")
     got = {r.chunk_id: (r.hash_drift, r.source) for r in validate.with_source(blocks_df, index, lines, "k").collect()}
     assert got == {"c1": (False, "a\nb"), "c2": (True, "c"), "c9": (True, "")}
 

@@ -5,13 +5,14 @@ import os
 import duckdb
 import pytest
 
-from docloom.plans import queries, stages  # noqa: F401
+from docloom.plans import long, queries, stages  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark labels conversations".split()
 NAMES = [
     "chunk_index", "codes_over_documents", "final_rows", "attached_pages", "page_markers", "validation_report", "validation_totals", "sub_code_and_document_issues", "schema_rules",
-    "block_field_flavours", "file_round_trips", "submission_list", "catalogue_rows", "hint_weighted_vote", "enum_share",
+    "block_field_flavours", "file_round_trips", "submission_list", "catalogue_rows", "hint_weighted_vote", "enum_share", "source_spans", "source_chunks", "attached_pages_one", "carried_documents", "overlapping_ranges", "block_sources", "incremental_chunks", "submission_ranges", "source_blocks",
+    "group_merge_distinct", "multi_field_merge", "block_roundtrip",
 ]
 
 

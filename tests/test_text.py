@@ -85,3 +85,9 @@ def test_keys(spark, base, sub, want):
 def test_page_tags(spark, previous, page, want):
     row = spark.createDataFrame([(previous, page)], "a int, b int").select(T.page_tag("a", "b").alias("t"), T.with_tag(F.lit(""), T.page_tag("a", "b")).alias("u"), T.with_tag(F.lit("절"), T.page_tag("a", "b")).alias("v")).first()
     assert (row.t, row.u, row.v) == (want, want, f"절 ({want})")
+
+
+def test_numbers_that_do_not_fit(spark):
+    texts = ["p. ７", "p. 99999999999", "see p.12", "p. " + "9" * 30, "p. ٣", "no page", None]
+    got = spark.createDataFrame([(t,) for t in texts], "s string").select(T.page_marker("s").alias("p"), T.first_integer("s").alias("n")).collect()
+    assert [r.p for r in got] == [7, 99999999999, 12, None, 3, None, None] == [r.n for r in got]

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
-from docloom.operators import carried, intervals, line_blocks, locate, long_documents, validate
+from docloom.operators import carried, intervals, line_blocks, locate, long_documents, rule_table, summaries, validate
 from docloom.plans.queries import SPACES, _LINES_SQL, _hash_sql, document_chunks, joined, query
 from docloom.plans.stages import _CHUNK_ROWS, _CHUNKS_SQL, attached_sql, benchmark_rows
-from docloom.sources import chunk_index, files, submissions
+from docloom.sources import chunk_index, files, page_cache, submissions
 
 # --- all lines of a source as one document ------------------------------------------------------
 
@@ -190,3 +190,61 @@ def submission_ranges(t, spark):
     )
     part = submissions.read_range(spark, f"{at}/log", 3, -5).select(F.lit("range").alias("part"), "place", name, F.lit("").alias("received"), seconds, F.lit("").alias("who"), F.lit("").alias("remark"))
     return whole.unionByName(part)
+
+
+# --- page caches --------------------------------------------------------------------------------
+
+_HOST = "regexp_extract(url, '://([^/?#]*)', 1)"
+
+
+@query(f"""with p as (select {_HOST} as manual, row_number() over (partition by {_HOST} order by page_id) as page, html from pages)
+  select 'all' as part, manual, page, len(html) as n_chars, md5(html) as text_md5 from p union all select 'range', manual, page, len(html), md5(html) from p where page between 2 and 3""")
+def page_texts(t, spark):
+    """Every host's pages as the pages of a manual: written as caches, read back whole and by a page range that chooses the files to open."""
+    at = files.scratch(spark)
+    pages = t("pages").select(F.regexp_extract("url", "://([^/?#]*)", 1).alias("manual"), "page_id", F.col("html").alias("text"))
+    numbered = carried.numbered(pages, "manual", ["page_id"], f"{at}/number", "page").select("manual", "page", "text")
+    page_cache.write_pages(numbered, f"{at}/caches", f"{at}/work")
+    told = lambda name, rows: rows.select(F.lit(name).alias("part"), "manual", "page", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
+    return told("all", page_cache.read_pages(spark, f"{at}/caches")).unionByName(told("range", page_cache.read_pages(spark, f"{at}/caches", least=2, most=3)))
+
+
+# --- rules as a table ---------------------------------------------------------------------------
+
+
+@query(f"""with {_LINES_SQL}, e as (select doc_id, unnest(range(1, len(l) + 1)) as line_no, unnest(l) as line from lines), w as (select distinct unnest(regexp_extract_all(text, '[A-Za-z]+')) as w from benchmark),
+  r as (select w, cast('0x' || substr(md5(w), 1, 8) as bigint) as rule, upper(substr(w, 1, 1)) as label from w where len(w) >= 4), k as (select distinct doc_id, line_no, unnest(regexp_extract_all(line, '[A-Za-z]+')) as w from e),
+  h as (select doc_id, line_no, rule, label from k join r using (w)), f as (select doc_id, line_no, label, min(rule) as rule, count(*) as n from h group by 1, 2, 3),
+  g as (select doc_id, line_no, min(rule) as first, string_agg(label, ',' order by rule) as labels, sum(n) as n from f group by 1, 2)
+  select doc_id, count(*) as n_lines, cast(sum(n) as bigint) as n_hits, md5(string_agg(line_no || ':' || first || ':' || labels, ';' order by line_no)) as routes_md5 from g group by 1""")
+def rule_routes(t, spark):
+    """Every word of the benchmark of four letters or more is a rule with a priority by hash, labelled by its initial: first match and all labels of every line."""
+    words = t("benchmark").select(F.explode(T.extract_all("text", "[A-Za-z]+")).alias("w")).where("length(w) >= 4").distinct()
+    number = F.conv(F.substring(F.md5("w"), 1, 8), 16, 10).cast("long")
+    pattern = F.concat(F.lit("(?<![A-Za-z])"), "w", F.lit("(?![A-Za-z])"))
+    rules = words.select(number.alias("rule"), number.alias("priority"), F.upper(F.substring("w", 1, 1)).alias("label"), F.col("w").alias("literal"), pattern.alias("pattern"))
+    hits = files.stored(rule_table.rule_hits(_lines(t), rules, ["doc_id", "line_no"]), f"{files.scratch(spark)}/hits")
+    lines = rule_table.routed(hits, ["doc_id", "line_no"])
+    route = F.concat(F.col("line_no").cast("string"), F.lit(":"), F.col("first").cast("string"), F.lit(":"), F.array_join("labels", ","))
+    routes = lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.md5(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", route.alias("r")))), lambda x: x.r), ";")).alias("routes_md5"))
+    return routes.join(hits.groupBy("doc_id").agg(F.count("*").alias("n_hits")), "doc_id")
+
+
+# --- summaries ----------------------------------------------------------------------------------
+
+_BY_SIZE = "order by char_count desc, start_line, chunk_id"
+
+
+@query(f"""with recursive {_CHUNKS_SQL}, i as ({_CHUNK_ROWS}), z as (select lang, lang || ':' || chunk_id as chunk_id, start_line, char_count, table_count, oversized, case when codes = '' then [] else string_split(codes, '|') end as cs from i join documents on i.doc_id = documents.doc_id),
+  s as (select lang, grouping(lang) = 1 as all_manuals, count(*) as chunks, count(*) filter (where oversized) as oversized, min(char_count) as min_char_count, max(char_count) as max_char_count, min(table_count) as min_table_count, max(table_count) as max_table_count,
+    min(len(cs)) as min_codes, max(len(cs)) as max_codes, cast(floor(sum(char_count) / count(*)) as bigint) as avg_char_count, cast(floor(sum(table_count) / count(*)) as bigint) as avg_table_count, cast(floor(sum(len(cs)) / count(*)) as bigint) as avg_codes from z group by grouping sets ((lang), ())),
+  r as (select *, chunk_id || '=' || char_count || '=' || array_to_string(cs[:6], ',') as told, row_number() over (partition by lang {_BY_SIZE}) as own, row_number() over ({_BY_SIZE}) as of_all from z where oversized),
+  a as (select lang, false as all_manuals, string_agg(told, '|' order by own) as largest from r where own <= 5 group by 1 union all select null, true, string_agg(told, '|' order by of_all) from r where of_all <= 5)
+  select coalesce(s.lang, '') as lang, s.* exclude (lang), coalesce(a.largest, '') as largest from s left join a on s.lang is not distinct from a.lang and s.all_manuals = a.all_manuals""")
+def chunk_summaries(t, spark):
+    """The chunk index summed up by language and in all, with the five largest oversized chunks and the first six codes of each."""
+    keyed = t("documents").select(F.concat("lang", F.lit(":"), F.col("doc_id").cast("string")).alias("doc_id"), "text")
+    chunks = document_chunks(keyed).withColumn("lang", F.substring_index("doc_id", ":", 1))
+    found = summaries.summaries(chunks, "lang", "start_line")
+    told = F.transform("largest", lambda x: F.concat(x.chunk_id, F.lit("="), x.char_count.cast("string"), F.lit("="), F.array_join(x.codes, ",")))
+    return found.withColumns({"lang": F.coalesce("lang", F.lit("")), "largest": F.array_join(told, "|")})

@@ -9,8 +9,8 @@
 * Each list compares its members with a few pivots first; a list whose members are in one component is done.
 * The token-group matrix serves all other lists: similar members form groups of about ``GROUP`` (those of one component, or of one family of
   lists), and of each group the union of its tokens is kept. A query meets the groups on its lists; the tokens that it shares with a
-  group's union bound what it can share with any member, and only groups that reach the overlap which the similarity asks for are opened. Pairs of an
-  opened group are checked by size and then on whole sets. Queries are all members but those of a list's largest component.
+  group's union bound what it can share with any member, and only groups that reach the overlap which the similarity asks for are opened. An opened
+  group's members are compared with its queries on whole sets, batch by batch. Queries are all members but those of a list's largest component.
 
 Nothing here is statistical: every link between different sets is found, or its two ends are in one component already. Lists of one family cost
 queries times groups, not pairs.
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm._common import discard, mix, shared_dir, spread_join, written
-from docloom.llm.near_dup import _merged, pivots, shingle_sets
+from docloom.llm.near_dup import _merged, common_counts, pivots, shingle_sets
 
 SHINGLE = 3
 PERCENT = 90
@@ -38,6 +38,8 @@ SPARE = 1
 PIVOTS = 2
 GROUP = 64
 GROUP_TOKENS = 1 << 18
+QUERIES = 256  # of one group in one task
+QUERY_TOKENS = 1 << 20
 
 
 def bands(percent: int, upto: int) -> np.ndarray:
@@ -187,11 +189,38 @@ def matrix_links(rows: DataFrame, sets: DataFrame, percent: int, at: str) -> Dat
             yield pa.RecordBatch.from_arrays([part.column(c).filter(keep) for c in ("node", "n", "component", "group")], ["node", "n", "component", "group"])
 
     names = "node long, n long, component long, group struct<of:bigint,whole:boolean,chunk:bigint>"
-    opened = fitting.join(sets, "node").select("node", "n", "component", "group", "least", "tokens", "hashes").mapInArrow(bound, names)
-    inside = members.select(F.col("node").alias("other"), F.col("n").alias("m"), F.col("component").alias("theirs"), "group")
-    pairs = opened.join(inside, "group").where((F.col("component") != F.col("theirs")) & size_fits(F.col("n"), F.col("m"), percent))
-    pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    return linked(pairs, sets, percent)
+    opened = written(fitting.join(sets, "node").select("node", "n", "component", "group", "least", "tokens", "hashes").mapInArrow(bound, names), f"{at}/opened")
+    return opened_links(opened, members, sets, percent, at)
+
+
+def opened_links(opened: DataFrame, members: DataFrame, sets: DataFrame, percent: int, at: str) -> DataFrame:
+    """Links (a, b) of queries with members of the groups they open; of a query's links with one component one comes out.
+
+    A group's queries come in batches of bounded size, each to the whole group in one task; pairs never become rows."""
+    load = written(opened.groupBy("group").agg(F.count("*").alias("asked"), F.greatest(F.ceil(F.count("*") / QUERIES), F.ceil(F.sum("n") / QUERY_TOKENS)).alias("batches")), f"{at}/load")
+    batch = F.pmod(F.xxhash64(F.lit(9), "node"), "batches").cast("int").alias("batch")
+    asking = spread_join(opened, load, ["group"], "asked", ["node"]).select("group.*", batch, "node", "component").join(sets, "node")
+    asked = members.join(load, "group").select("group.*", F.explode(F.sequence(F.lit(0), F.col("batches").cast("int") - 1)).alias("batch"), "node", "component").join(sets, "node")
+    asked = asked.select(*(F.col(c).alias(c) for c in asked.columns))  # columns of its own
+
+    def compare(queries: pa.Table, group: pa.Table) -> pa.Table:
+        both = pa.concat_tables([t.select(["node", "component", "hashes"]) for t in (queries, group)])
+        node, theirs = both.column("node").to_numpy(), both.column("component").to_numpy()
+        parts = [np.frombuffer(x.as_buffer(), np.int64) for c in both.column("hashes").chunks for x in c]
+        k, n = len(queries), len(parts)
+        size = np.array([len(x) for x in parts])
+        common = common_counts(np.concatenate(parts), np.repeat(np.arange(n), size), n)[:k, k:]
+        linked = (theirs[:k, None] != theirs[None, k:]) & (100 * common >= percent * (size[:k, None] + size[None, k:] - common)) & (common > 0)
+        a, b = [], []
+        for i in np.flatnonzero(linked.any(1)):
+            found = np.flatnonzero(linked[i]) + k
+            one = found[np.unique(theirs[found], return_index=True)[1]]
+            a += [node[i]] * len(one)
+            b += node[one].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    keys = ("of", "whole", "chunk", "batch")
+    return asking.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(lambda q, g: compare(q, g) if len(q) and len(g) else pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())}), "a long, b long")
 
 
 def jaccard_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -214,7 +243,7 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
     if not todo.isEmpty():
         labels = _merged(labels, matrix_links(todo, sets, percent, at), f"{at}/groups")
     rep = written(classes.join(labels, "node", "left").select("set_a", "set_b", F.col("n").alias("n_shingles"), "node", "component", "copies"), f"{at}/rep")
-    done = ("counts", "lists", "sets", "chosen", "labelled", "several", "open", "nodes", "sizes", "placed", "dealt", "members", "unions", "entries", "pivots", "groups", "classes")
+    done = ("counts", "lists", "sets", "chosen", "labelled", "several", "open", "nodes", "sizes", "placed", "dealt", "members", "unions", "entries", "opened", "load", "pivots", "groups", "classes")
     discard(spark, *(f"{at}/{x}" for x in done))
     found = spread_join(sig.select("doc_id", "n_shingles", "set_a", "set_b"), rep, ["set_a", "set_b", "n_shingles"], "copies", ["doc_id"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", F.col("doc_id").cast("long"))).cast(kind)

@@ -124,6 +124,7 @@ def span_ends(marks: DataFrame, key: str, order: list[str], at: str, parts: int
     """(key, part, first_line, line, chars, full, spans), one row per span with what lies before and in its last line; (key, lines, chars, full)."""
     kind = marks.schema[key].dataType.simpleString()
     by = [*order, "tie"]
+    marks = stored(marks, f"{at}/lines")  # parts are cut by a sample, which would read the lines' texts once more
     rows = stored(in_parts(marks, key, by, parts), f"{at}/marks")
     head = f"{key} {kind}, part long, summary {_SUMMARY}"
     types = arrow(head)

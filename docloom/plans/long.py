@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
-from docloom.operators import carried, intervals, line_blocks, locate, long_documents, rule_table, summaries, validate
+from docloom.operators import carried, claims, intervals, line_blocks, locate, long_documents, rule_table, summaries, validate
 from docloom.plans.queries import SPACES, _LINES_SQL, _hash_sql, document_chunks, joined, query
 from docloom.plans.stages import _CHUNK_ROWS, _CHUNKS_SQL, attached_sql, benchmark_rows
 from docloom.sources import chunk_index, files, page_cache, submissions
@@ -36,7 +36,7 @@ def source_spans(t, spark):
     return long_documents.long_spans(_source_lines(t), "source", ["doc_id", "place"], "line", files.scratch(spark), _OPENING, _CLOSING)
 
 
-@query(f"""with recursive {_SOURCE_LINES}, y as (select e.*, s.done is not null as closes from e join s on e.source = s.source and e.i = s.i),
+@query(f"""with recursive {_SOURCE_LINES}, y as materialized (select e.*, s.done is not null as closes from e join s on e.source = s.source and e.i = s.i),
   g as (select source, cast(0 as bigint) as i, cast(0 as bigint) as size, cast(1 as bigint) as start, cast(0 as bigint) as tables, cast(0 as bigint) as f, false as cut from (select distinct source from e)
     union all select y.source, y.i, case when g.cut then 0 else g.size end + y.n, case when g.cut then y.i else g.start end, case when g.cut then 0 else g.tables end + cast(y.closes as bigint), case when g.cut then 0 else g.f end + y.f,
       case when g.cut then 0 else g.size end + y.n >= {_TARGET} and y.closes from g join y on g.source = y.source and y.i = g.i + 1),
@@ -248,3 +248,15 @@ def chunk_summaries(t, spark):
     found = summaries.summaries(chunks, "lang", "start_line")
     told = F.transform("largest", lambda x: F.concat(x.chunk_id, F.lit("="), x.char_count.cast("string"), F.lit("="), F.array_join(x.codes, ",")))
     return found.withColumns({"lang": F.coalesce("lang", F.lit("")), "largest": F.array_join(told, "|")})
+
+
+# --- claims against a large source --------------------------------------------------------------
+
+
+@query("""with b as (select distinct unnest(regexp_extract_all(html, '[A-Z][a-z]+')) as w from pages), c as (select doc_id, unnest(list_distinct(regexp_extract_all(text, '[A-Z][a-z]+'))) as w from documents)
+  select doc_id, count(*) as n_claimed, count(*) filter (where b.w is null) as n_invented from c left join b on c.w = b.w group by 1""")
+def claims_against_pages(t, spark):
+    """The capitalised words of every document, and how many of them no page holds."""
+    words = lambda c: F.explode(T.document_names(c, "[A-Z][a-z]+")).alias("w")
+    found = claims.checked(t("documents").select("doc_id", words("text")), ["doc_id"], "w", t("pages").select(words("html")), "w", files.scratch(spark))
+    return found.groupBy("doc_id").agg(F.count("*").alias("n_claimed"), F.count_if(~F.col("known")).alias("n_invented"))

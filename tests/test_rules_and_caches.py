@@ -4,10 +4,11 @@ import json
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.operators import rule_table, summaries
+from docloom.operators import claims, rule_table, summaries
 from docloom.sources import page_cache
 
 
@@ -88,3 +89,27 @@ def test_summaries_merge_partial_heaps(spark, monkeypatch):
     plan = summaries.summaries(chunks, "m", "place")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan ExistingRDD") == 1
     assert summaries.summaries(chunks.limit(0), "m", "place").collect() == []
+
+
+@pytest.mark.parametrize(("size", "hot"), [(1 << 20, 1000), (64, 1000), (1 << 20, 5)])
+def test_claims_against_a_source(spark, tmp_path, monkeypatch, size, hot):
+    monkeypatch.setattr(claims, "HOT", hot)
+    r = random.Random(3)
+    source = [f"s{i}" for i in range(2000)] + ["the", None, "the"]
+    rows = [(i % 300, r.choice(["the", "gone", f"s{r.randint(0, 2500)}", f"x{r.randint(0, 900)}", None])) for i in range(3000)] + [(None, "the"), (None, "lost")]
+    given = spark.createDataFrame(rows, "d int, w string").repartition(4)
+    got = claims.checked(given, ["d"], "w", spark.createDataFrame([(s,) for s in source], "v string"), "v", f"{tmp_path}/a", size)
+    want = sorted(((d, w, w is not None and w in set(source)) for d, w in rows), key=str)
+    assert sorted((tuple(x) for x in got.collect()), key=str) == want
+    none = spark.createDataFrame([], "v string")
+    assert {x.known for x in claims.checked(given, ["d"], "w", none, "v", f"{tmp_path}/b", size).collect()} == {False}
+    assert claims.checked(given.limit(0), ["d"], "w", none, "v", f"{tmp_path}/c", size).collect() == []
+
+
+def test_filter_holds_its_values(spark):
+    values = spark.range(5000).select(F.concat(F.lit("v"), "id").alias("v"))
+    held = claims.value_filter(values, "v")
+    places = lambda c: claims.bit_places(np.array([x.h for x in spark.range(5000).select(F.xxhash64(F.concat(F.lit(c), "id")).alias("h")).collect()]), len(held) * 8)
+    hit = lambda at: (held[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(0)
+    assert hit(places("v")).all() and hit(places("w")).mean() < 0.02
+    assert claims.value_filter(values, "v", 64) is None

@@ -83,6 +83,15 @@ def status(manuals: DataFrame, totals: DataFrame, key: str) -> DataFrame:
     return known.withColumn("status", F.when(F.col("normalized_chunks").isNull(), NO_OUTPUT))
 
 
-def issue_histogram(rows: DataFrame, issues: str = "issues") -> DataFrame:
-    """(kind, n): issues by what stands before the first colon, most frequent first."""
-    return rows.select(F.explode(issues).alias("issue")).groupBy(T.kind_before("issue").alias("kind")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "kind")
+def require_sources(manuals: DataFrame, lines: DataFrame, key: str) -> None:
+    """Fails if a manual has no source lines at all: without its raw text nothing about it can be checked. Names a few of them."""
+    bare = manuals.select(key).distinct().join(lines.select(key).distinct(), key, "left_anti").limit(5).collect()
+    if bare:
+        raise ValueError(f"no raw text for {', '.join(sorted(str(r[0]) for r in bare))}")
+
+
+def issue_histogram(rows: DataFrame, issues: str = "issues", order: list[str] | None = None) -> DataFrame:
+    """(kind, n): issues by what stands before the first colon, most frequent first; kinds that tie by their first issue in ``order`` of the rows, or without one by name."""
+    placed = rows.select(F.struct(*(order or [])).alias("__row") if order else F.lit(0).alias("__row"), F.posexplode(issues).alias("__at", "issue"))
+    kinds = placed.groupBy(T.kind_before("issue").alias("kind")).agg(F.count("*").alias("n"), F.min(F.struct("__row", "__at")).alias("__first"))
+    return kinds.orderBy(F.desc("n"), *(["__first"] if order else []), "kind").select("kind", "n")

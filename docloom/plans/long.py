@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
-from docloom.operators import carried, claims, intervals, line_blocks, locate, long_documents, rule_table, summaries, validate
+from docloom.operators import carried, claims, forms, intervals, line_blocks, locate, long_documents, rule_table, summaries, validate
 from docloom.plans.queries import SPACES, _LINES_SQL, _hash_sql, document_chunks, joined, query
 from docloom.plans.stages import _CHUNK_ROWS, _CHUNKS_SQL, attached_sql, benchmark_rows
 from docloom.sources import chunk_index, files, page_cache, submissions
@@ -260,3 +260,24 @@ def claims_against_pages(t, spark):
     words = lambda c: F.explode(T.document_names(c, "[A-Z][a-z]+")).alias("w")
     found = claims.checked(t("documents").select("doc_id", words("text")), ["doc_id"], "w", t("pages").select(words("html")), "w", files.scratch(spark))
     return found.groupBy("doc_id").agg(F.count("*").alias("n_claimed"), F.count_if(~F.col("known")).alias("n_invented"))
+
+
+# --- a catalogue and its answers as tables ------------------------------------------------------
+
+
+@query("""with q as (select conv_id, turn, role, text, row_number() over (partition by conv_id, role order by turn) as place, case when role <> 'user' and turn > 0 then turn - 1 end as depends_on from conversations),
+  a as (select conv_id, turn, role as value from conversations where len(text) % 3 <> 0)
+  select q.conv_id, q.turn, q.role as section, q.place, q.depends_on is null or coalesce(d.value in ('user', 'system'), false) as visible, case o.value when 'user' then 'User' when 'assistant' then 'Model' else coalesce(o.value, '(no answer)') end as shown
+  from q left join a d on q.conv_id = d.conv_id and q.depends_on = d.turn left join a o on q.conv_id = o.conv_id and q.turn = o.turn""")
+def catalogue_joins(t, spark):
+    """Conversations as nested catalogues, a section per role and a question per turn: flattened, joined with the answers their dependencies name, and with their options' labels."""
+    labels = F.array(*(F.struct(F.lit(v).alias("value"), F.lit(lab).alias("label")) for v, lab in (("user", "User"), ("assistant", "Model"))))
+    depends = F.when((F.col("role") != "user") & (F.col("turn") > 0), (F.col("turn") - 1).cast("string"))
+    question = F.struct(F.col("turn").alias("at"), F.col("turn").cast("string").alias("id"), depends.alias("depends_on"), F.array(F.lit("user"), F.lit("system")).alias("values"), labels.alias("options"))
+    sections = t("conversations").groupBy("conv_id", F.col("role").alias("section")).agg(F.sort_array(F.collect_list(question)).alias("questions"))
+    catalogue = sections.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("section", "questions"))).alias("sections"))
+    answers = t("conversations").where("length(text) % 3 <> 0").select("conv_id", F.col("turn").cast("string").alias("question"), F.lit(0).alias("nth"), F.col("role").alias("value"))
+    questions = forms.questions_of(catalogue, ["conv_id"])
+    shown = forms.shown_answers(questions, answers, ["conv_id"])
+    found = forms.visible_questions(questions, answers, ["conv_id"]).join(shown, ["conv_id", "id"])
+    return found.select("conv_id", F.col("at").alias("turn"), "section", F.col("place").cast("long").alias("place"), "visible", "shown")

@@ -2,10 +2,11 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
-from docloom.operators import blocks, chunk, locate, quality, rollup, rules, validate
+from docloom.operators import blocks, chunk, forms, locate, quality, rollup, rules, validate
 from docloom.plans.compile import final_table
 from docloom.functions import patterns as P
 
@@ -206,3 +207,30 @@ def test_quality(spark):
     assert quality.schema_problems(df, ["p", "q"], ["q"]) == ["forbidden column: q"]
     assert [r.p for r in quality.odd_parents(spark.createDataFrame([("F-6",), ("공통",), ("x",)], "p string"), "p", P.PARENT_CODE, ["공통"]).collect()] == ["x"]
     assert T.strip("p") is not None
+
+
+def test_kinds_that_tie_go_by_first_appearance(spark):
+    rows = spark.createDataFrame([(2, ["b: 1", "a: 2"]), (1, ["c", "b: x"]), (3, ["a: 9", "z: 1", "z: 2"]), (4, [])], "n int, issues array<string>")
+    assert [tuple(r) for r in validate.issue_histogram(rows, order=["n"]).collect()] == [("b", 2), ("a", 2), ("z", 2), ("c", 1)]
+    assert [tuple(r) for r in validate.issue_histogram(rows).collect()] == [("a", 2), ("b", 2), ("z", 2), ("c", 1)]
+
+
+def test_missing_raw_text_aborts(spark):
+    lines = spark.createDataFrame([("visa", 1, "x")], "k string, line_no int, line string")
+    validate.require_sources(spark.createDataFrame([("visa",)], "k string"), lines, "k")
+    with pytest.raises(ValueError, match="no raw text for stay"):
+        validate.require_sources(spark.createDataFrame([("visa",), ("stay",), ("stay",)], "k string"), lines, "k")
+
+
+def test_catalogues_and_answers_as_tables(spark):
+    option = "struct<value:string,label:string>"
+    schema = f"form int, sections array<struct<section:string,questions:array<struct<id:string,depends_on:string,values:array<string>,options:array<{option}>>>>>"
+    first = ("s", [("q1", None, None, [("a", "Apple"), ("b", "Bean"), ("a", "again")]), ("q2", "q1", ["b"], [])])
+    catalogue = spark.createDataFrame([(1, [first, ("empty", []), ("t", [("q3", "q9", ["x"], None)])]), (2, [first]), (3, None)], schema)
+    answers = spark.createDataFrame([(1, "q1", 1, "b"), (1, "q1", 0, "zed"), (1, "q2", 0, " "), (2, "q1", 0, "a"), (9, "q1", 0, "a")], "form int, question string, nth int, value string")
+    questions = forms.questions_of(catalogue, ["form"])
+    assert [(r.form, r.section, r.section_place, r.place, r.id) for r in questions.orderBy("form", "section_place", "place").collect()] == [(1, "s", 1, 1, "q1"), (1, "s", 1, 2, "q2"), (1, "t", 3, 1, "q3"), (2, "s", 1, 1, "q1"), (2, "s", 1, 2, "q2")]
+    seen = {(r.form, r.id): r.visible for r in forms.visible_questions(questions, answers, ["form"]).collect()}
+    assert seen == {(1, "q1"): True, (1, "q2"): True, (1, "q3"): False, (2, "q1"): True, (2, "q2"): False}
+    shown = {(r.form, r.id): r.shown for r in forms.shown_answers(questions, answers, ["form"]).collect()}
+    assert shown == {(1, "q1"): "zed, Bean", (1, "q2"): "(no answer)", (1, "q3"): "(no answer)", (2, "q1"): "Apple", (2, "q2"): "(no answer)"}

@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark labels conversations".split()
 NAMES = [
     "chunk_index", "codes_over_documents", "final_rows", "attached_pages", "page_markers", "validation_report", "validation_totals", "sub_code_and_document_issues", "schema_rules",
-    "block_field_flavours", "file_round_trips", "submission_list", "catalogue_rows", "hint_weighted_vote", "enum_share", "source_spans", "source_chunks", "attached_pages_one", "carried_documents", "overlapping_ranges", "block_sources", "incremental_chunks", "submission_ranges", "source_blocks", "page_texts", "rule_routes", "chunk_summaries", "claims_against_pages",
+    "block_field_flavours", "file_round_trips", "submission_list", "catalogue_rows", "hint_weighted_vote", "enum_share", "source_spans", "source_chunks", "attached_pages_one", "carried_documents", "overlapping_ranges", "block_sources", "incremental_chunks", "submission_ranges", "source_blocks", "page_texts", "rule_routes", "chunk_summaries", "claims_against_pages", "catalogue_joins",
     "group_merge_distinct", "multi_field_merge", "block_roundtrip",
 ]
 

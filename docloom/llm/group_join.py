@@ -6,7 +6,8 @@
   under the scheme of its own band and of the next one (similar sets lie in the same or in adjacent bands); an empty part is listed
   only by members with more than ``SPARE`` of them, which misses nothing. A part is several tokens together, so a passage that many
   documents share lists them together only where all else in the part is shared as well.
-* Each list compares its members with a few pivots first; a list whose members are in one component is done.
+* Each list compares its members with a few pivots first, then those outside its largest component with members of that, one a round; a list
+  whose members are in one component is done. All this is linear in the lists.
 * The token-group matrix serves all other lists: similar members form groups of about ``GROUP`` (those of one component, or of one family of
   lists), and of each group the union of its tokens is kept. A query meets the groups on its lists; the tokens that it shares with a
   group's union bound what it can share with any member, and only groups that reach the overlap which the similarity asks for are opened. An opened
@@ -36,6 +37,7 @@ SHINGLE = 3
 PERCENT = 90
 SPARE = 1
 PIVOTS = 2
+ROUNDS = 4
 GROUP = 64
 GROUP_TOKENS = 1 << 18
 QUERIES = 256  # of one group in one task
@@ -145,6 +147,15 @@ def open_lists(lists: DataFrame, labels: DataFrame, at: str) -> DataFrame:
     return written(spread_join(rows, facts, ["value"], "members", ["node"]), f"{at}/open")
 
 
+def star_pairs(rows: DataFrame, percent: int, seed: int) -> DataFrame:
+    """(a, b): the members of open lists outside the largest component, each with one member of it, the same one wherever lists share it."""
+    inside = F.col("component") == F.col("largest")
+    chosen = rows.groupBy("value").agg(F.min(F.when(inside, F.struct(F.xxhash64(F.lit(seed), "node").alias("h"), "node", "n"))).alias("pivot"), F.first("members").alias("members"))
+    pivot = chosen.select("value", F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("m"), F.col("members").alias("w"))
+    outside = spread_join(rows.where(~inside).select("value", "node", "n"), pivot, ["value"], "w", ["node"])
+    return outside.where(size_fits(F.col("n"), F.col("m"), percent)).select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+
+
 def token_groups(rows: DataFrame, sets: DataFrame, at: str) -> tuple[DataFrame, DataFrame]:
     """(node, n, component, group) and (group, tokens, least, most): groups of similar members and their token unions.
 
@@ -240,10 +251,15 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
     labels = _merged(spark.createDataFrame([], "node long, component long"), linked(pairs, sets, percent), f"{at}/pivots")
     # lists of at most one member more than pivots have been compared in full
     todo = open_lists(lists.where(F.col("members") > PIVOTS + 1).drop("members"), labels, at)
+    for k in range(ROUNDS):
+        if todo.isEmpty():
+            break
+        labels = _merged(labels, linked(star_pairs(todo, percent, k), sets, percent), f"{at}/round{k}")
+        todo = open_lists(todo.select("value", "node", "n"), labels, f"{at}/round{k}")
     if not todo.isEmpty():
         labels = _merged(labels, matrix_links(todo, sets, percent, at), f"{at}/groups")
     rep = written(classes.join(labels, "node", "left").select("set_a", "set_b", F.col("n").alias("n_shingles"), "node", "component", "copies"), f"{at}/rep")
-    done = ("counts", "lists", "sets", "chosen", "labelled", "several", "open", "nodes", "sizes", "placed", "dealt", "members", "unions", "entries", "opened", "load", "pivots", "groups", "classes")
+    done = ("counts", "lists", "sets", "chosen", "labelled", "several", "open", "nodes", "sizes", "placed", "dealt", "members", "unions", "entries", "opened", "load", "pivots", "groups", "classes", *(f"round{k}" for k in range(ROUNDS)))
     discard(spark, *(f"{at}/{x}" for x in done))
     found = spread_join(sig.select("doc_id", "n_shingles", "set_a", "set_b"), rep, ["set_a", "set_b", "n_shingles"], "copies", ["doc_id"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", F.col("doc_id").cast("long"))).cast(kind)

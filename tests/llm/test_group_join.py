@@ -56,9 +56,10 @@ def corpus(seed, n):
     return texts
 
 
-@pytest.mark.parametrize("group", [64, 3])
-def test_matches_brute_force(spark, monkeypatch, group):
+@pytest.mark.parametrize(("group", "rounds"), [(64, 4), (3, 0)])
+def test_matches_brute_force(spark, monkeypatch, group, rounds):
     monkeypatch.setattr(group_join, "GROUP", group)
+    monkeypatch.setattr(group_join, "ROUNDS", rounds)
     rows = [(i * 3 % 1009, t) for i, t in enumerate(corpus(7, 330))] + [(2000, None), (2001, ""), (2002, "  \n"), (2003, "One two"), (2004, "one TWO"), (2005, "É a b c"), (2006, "é a b c")]
     docs = spark.createDataFrame([(d, t, 1, "x") for d, t in rows], "doc_id long, text string, component_id int, value string").repartition(5)
     got = {tuple(r) for r in jaccard_join(docs).select("doc_id", "n_shingles", "component_id").collect()}

@@ -24,7 +24,7 @@ from docloom.functions import patterns as P
 from docloom.functions import text as T
 from docloom.operators.chunk import TARGET
 from docloom.operators.scan import Rule, arrow, in_parts, prefix_states, rows_of, with_state
-from docloom.sources.files import stored
+from docloom.sources.files import discard, stored
 
 _AFTER = "open:boolean,depth:bigint,start:bigint,spans:bigint"  # start: the open span's first line, from 1
 _SUMMARY = f"struct<lines:bigint,chars:bigint,full:bigint,change:bigint,exact:array<struct<at:bigint,{_AFTER}>>,below:array<struct<at:bigint,{_AFTER}>>>"
@@ -159,7 +159,9 @@ def span_ends(marks: DataFrame, key: str, order: list[str], at: str, parts: int
 
     ends = with_state(rows, states, key).groupBy(key, "part").applyInArrow(found, schema)
     totals = sums.groupBy(key).agg(*(F.sum(f"summary.{c}").alias(c) for c in ("lines", "chars", "full")))
-    return stored(ends, f"{at}/ends"), totals
+    ends = stored(ends, f"{at}/ends")
+    discard(marks.sparkSession, *(f"{at}/{x}" for x in ("lines", "marks", "up", "states")))
+    return ends, totals
 
 
 def long_spans(lines: DataFrame, key: str, order: list[str], line: str, at: str, opening: str = P.TABLE_OPEN, closing: str = P.TABLE_CLOSE, parts: int | None = None) -> DataFrame:
@@ -232,6 +234,7 @@ def long_chunks(
         return pa.Table.from_pylist(out, types)
 
     cuts = stored(with_state(ends, states, key).groupBy(key, "part").applyInArrow(cut, schema), f"{at}/chunks")
+    discard(ends.sparkSession, *(f"{at}/{x}" for x in ("cuts", "cuts_up", "cut_states")))
     # what follows the last cut
     last = cuts.groupBy(F.col(key).alias("__key")).agg(F.max(F.struct("end_line", "chars", "spans")).alias("last"), F.sum("full").alias("seen"))
     spans = ends.groupBy(F.col(key).alias("__of")).agg(F.count("*").alias("n_spans"))

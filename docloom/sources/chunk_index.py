@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.sources.commits import commit, manifest, versions
-from docloom.sources.files import filesystem, stored
+from docloom.sources.files import discard, filesystem, stored
 
 BUCKETS = 64
 
@@ -67,6 +67,7 @@ def update_index(docs: DataFrame, at: str, key: str, text: str, build: Callable[
     changed = stored(changes(given, known, key), f"{at}/changes/{batch}")
     touched = sorted(r.bucket for r in changed.select("bucket").distinct().collect())  # no more than there are buckets
     if done and not touched:
+        discard(spark, f"{at}/changes/{batch}")
         return done[-1]
     moved = changed.select(F.col(key).alias("__key"))
     same = F.col(key).eqNullSafe(F.col("__key"))
@@ -84,4 +85,5 @@ def update_index(docs: DataFrame, at: str, key: str, text: str, build: Callable[
         told[table] = old[table] | {str(b): batch if str(b) in there else "" for b in touched}
     version = (done[-1] if done else 0) + 1
     commit(spark, at, version, told)
+    discard(spark, f"{at}/changes/{batch}")
     return version

@@ -132,5 +132,6 @@ def write_pages(pages: DataFrame, at: str, work: str) -> int:
         stale = []
     made = stored(made, f"{work}/missing")
     made.write.mode("append").partitionBy(*names).text(at)
-    discard(spark, *stale)
-    return made.count()
+    n = made.count()
+    discard(spark, *stale, work)
+    return n

@@ -37,8 +37,8 @@ SHINGLE = 3
 PERCENT = 90
 SPARE = 1
 PIVOTS = 2
-ROUNDS = 4
-GROUP = 64
+ROUNDS = 2
+GROUP = 512
 GROUP_TOKENS = 1 << 18
 QUERIES = 256  # of one group in one task
 QUERY_TOKENS = 1 << 20

@@ -71,7 +71,9 @@ def update_index(docs: DataFrame, at: str, key: str, text: str, build: Callable[
         return done[-1]
     moved = changed.select(F.col(key).alias("__key"))
     same = F.col(key).eqNullSafe(F.col("__key"))
-    fresh = build(given.join(changed.where("kind <> 'vanished'").select(F.col(key).alias("__key")), same, "left_semi").select(key, text))
+    # the first batch is new as a whole; later ones join their texts with the changes by a merge, whatever the sizes
+    news = changed.where("kind <> 'vanished'").select(F.col(key).alias("__key")).hint("merge")
+    fresh = build((given.join(news, same, "left_semi") if done else given).select(key, text))
     chunk_schema = old.get("chunk_schema") or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fresh.schema)
     kept = _read(spark, at, "chunks", old["chunks"], chunk_schema, touched).join(moved, same, "left_anti")
     rows = kept.unionByName(fresh).withColumn("bucket", bucket_of(key, buckets))

@@ -49,10 +49,15 @@ def on(carried: int | None, row: dict) -> int | None:
     return carried if page is None else page
 
 
+def chooses(row: dict) -> bool:
+    """Whether the row has a page of its own: one that it names, or candidates."""
+    return row["kept"] is not None if row["has"] else bool(row["c"])
+
+
 def page_effect(rows: list[dict]) -> dict:
     none, zero = None, 0
     at = 0
-    while at < len(rows) and not rows[at]["c"] and not (rows[at]["has"] and rows[at]["kept"] is not None):
+    while at < len(rows) and not chooses(rows[at]):
         none, zero = on(none, rows[at]), on(zero, rows[at])
         at += 1
     if at == len(rows):

@@ -92,6 +92,17 @@ def test_carried_equals_the_loop(spark, monkeypatch, parts, fan):
     assert sorted((tuple(x) for x in got), key=str) == sorted(want, key=str)
 
 
+def test_a_mark_without_number_goes_before_candidates():
+    cand = [{"page": 5, "hits": 1, "first_start": 0}, {"page": 90, "hits": 1, "first_start": 1}]
+    row = lambda has, kept, c=(): {"has": has, "kept": kept, "hint": None, "c": list(c)}
+    for rows in ([row(True, None, cand)], [row(True, None, cand), row(False, None, cand)], [row(True, None, cand), row(True, 3, cand)]):
+        for page in (None, 0, 7, 88):
+            now = page
+            for r in rows:
+                now = carried.on(now, r)
+            assert carried.after_part({"page": page}, carried.page_effect(rows)) == {"page": now}
+
+
 def test_hints_from_rows_near_by(spark, monkeypatch):
     monkeypatch.setattr(carried, "BIN", 64)
     r = random.Random(5)

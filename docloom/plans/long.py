@@ -223,11 +223,10 @@ def rule_routes(t, spark):
     number = F.conv(F.substring(F.md5("w"), 1, 8), 16, 10).cast("long")
     pattern = F.concat(F.lit("(?<![A-Za-z])"), "w", F.lit("(?![A-Za-z])"))
     rules = words.select(number.alias("rule"), number.alias("priority"), F.upper(F.substring("w", 1, 1)).alias("label"), F.col("w").alias("literal"), pattern.alias("pattern"))
-    hits = files.stored(rule_table.rule_hits(_lines(t), rules, ["doc_id", "line_no"]), f"{files.scratch(spark)}/hits")
-    lines = rule_table.routed(hits, ["doc_id", "line_no"])
+    lines = rule_table.routed_lines(_lines(t), rules, ["doc_id", "line_no"])
     route = F.concat(F.col("line_no").cast("string"), F.lit(":"), F.col("first").cast("string"), F.lit(":"), F.array_join("labels", ","))
-    routes = lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.md5(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", route.alias("r")))), lambda x: x.r), ";")).alias("routes_md5"))
-    return routes.join(hits.groupBy("doc_id").agg(F.count("*").alias("n_hits")), "doc_id")
+    whole = F.md5(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", route.alias("r")))), lambda x: x.r), ";"))
+    return lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), whole.alias("routes_md5"), F.sum("n_rules").alias("n_hits"))
 
 
 # --- summaries ----------------------------------------------------------------------------------

@@ -47,6 +47,29 @@ def test_conditions_choose_files_and_ranges(spark, tmp_path):
     assert [whole.count(), whole.where("page > 300").count(), whole.count(), whole.where("page <= 2").unionByName(whole.where("page > 599")).count()] == [602, 300, 602, 5]
 
 
+def test_whole_words_are_looked_up(spark):
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abAé1_") for _ in range(r.randint(1, 3)))
+    rules = [(k, r.choice([3, 4, None]), r.choice(["x", "y", None]), w, p.format(re.escape(w))) for k, (w, p) in enumerate((word(), p) for p in (r"\b{}\b", "(?<![abA]){}(?![abA])", "(?<![ab]){}(?![abA])", "(?<![^ ]){}(?![^ ])", "(?<!a){}(?!a)") for _ in range(25))]
+    rules.append((900, 1, "z", "", r"^\S+$"))
+    lines = [(n, "".join(r.choice("abAé1_  -") for _ in range(r.randint(0, 9)))) for n in range(300)] + [(500, None)]
+    assert rule_table.word_class("ab", "(?<![a-z])ab(?![a-z])") == "[a-z]" and rule_table.word_class("ab", r"\bab\b") == r"\w"
+    for literal, pattern in (("a-b", r"\ba\-b\b"), ("a", r"\ba+\b"), ("ab", "(?<![a])ab(?![a])"), ("ab", "(?<![ab])ab(?![abc])"), ("", r"\b\b")):
+        assert rule_table.word_class(literal, pattern) is None
+    matcher = rule_table.Matcher([(k, w, p) for k, _, _, w, p in rules])
+    for _, x in lines:
+        assert x is None or sorted(matcher.matches(x)) == [k for k, _, _, _, p in rules if re.search(p, x)]
+    table = spark.createDataFrame(rules, "rule long, priority int, label string, literal string, pattern string")
+    given = spark.createDataFrame(lines, "n int, line string").repartition(3)
+    found = rule_table.routed_lines(given, table, ["n"])
+    assert "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    hits = rule_table.rule_hits(given, table, ["n"])
+    want = {x.n: (x.first, x.label, x.labels) for x in rule_table.routed(hits, ["n"]).collect()}
+    assert {x.n: (x.first, x.label, x.labels) for x in found.collect()} == want and len(want) > 100
+    assert {x.n: x.n_rules for x in found.collect()} == {x.n: x["count"] for x in hits.groupBy("n").count().collect()}
+    assert rule_table.routed_lines(given, table.limit(0), ["n"]).collect() == []
+
+
 def test_rules_as_a_table(spark):
     r = random.Random(9)
     rules = [(i, r.randint(0, 40), r.choice("xyz"), w, rf"\b{w}\b") for i, w in enumerate(f"w{k}" for k in range(300))]

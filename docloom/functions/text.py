@@ -7,12 +7,13 @@ from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from docloom.functions import patterns as P
+from docloom.functions.batches import pieces
 
 SPACE = r"[\s\x1c-\x1f]"
 
@@ -68,15 +69,25 @@ def content_hash(c, digits: int = 16) -> Column:
     return F.substring(F.sha2(F.trim(F.regexp_replace(col(c), rf"(?U){SPACE}+", " ")), 256), 1, digits)
 
 
-@F.pandas_udf(StringType())
-def _nfc(s: pd.Series) -> pd.Series:
-    return s.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
+# fixed ranges of characters that stay as they are and do not compose with what stands before them, beside those up to U+02FF
+_COMPOSED = (
+    r"\x{370}-\x{373}\x{375}-\x{37d}\x{388}-\x{482}\x{48a}-\x{58f}\x{5d0}-\x{5ea}\x{620}-\x{64a}\x{e01}-\x{e37}\x{10a0}-\x{10ff}\x{1e00}-\x{1eff}\x{2002}-\x{205f}\x{20a0}-\x{20bf}\x{2150}-\x{218b}\x{2190}-\x{2328}\x{2460}-\x{27ff}"
+    r"\x{3000}-\x{3029}\x{3041}-\x{3096}\x{30a1}-\x{30ff}\x{3131}-\x{318e}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{ac00}-\x{d7a3}\x{ff01}-\x{ff9d}\x{1f300}-\x{1faff}"
+)
+_OPEN = rf"[^\x00-\x{{2ff}}](?<![{_COMPOSED}])"
+
+
+@F.arrow_udf(StringType())
+def _nfc(texts: pa.Array) -> pa.Array:
+    done = [pa.array([None if t is None else unicodedata.normalize("NFC", t) for t in texts.slice(at, n).to_pylist()], pa.string()) for at, n in pieces(texts)]
+    return pa.concat_arrays(done) if done else pa.array([], pa.string())
 
 
 def nfc(c) -> Column:
-    """Unicode's composed form; Spark has no builtin, so an Arrow function does it for texts that are not ASCII."""
+    """Unicode's composed form. Spark has no builtin, so an Arrow function does it; as Spark gives such a function every row, whatever condition
+    stands around it, texts that are seen to be composed are null to it."""
     c = col(c)
-    return F.when(F.octet_length(c) == F.length(c), c).otherwise(_nfc(c))
+    return F.when(c.rlike(_OPEN), _nfc(F.when(c.rlike(_OPEN), c))).otherwise(c)
 
 
 def collapse_repeats(c, letters: str = P.REPEATED) -> Column:

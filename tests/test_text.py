@@ -4,9 +4,11 @@ import hashlib
 import re
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from docloom.functions import batches
 from docloom.functions import patterns as P
 from docloom.functions import text as T
 
@@ -56,6 +58,20 @@ def test_match_key(spark):
         assert re.sub("[\x1c-\x1f]", "", r["key"]) == re.sub("[\x1c-\x1f]", "", re.sub(r"([가-힣])\1+", r"\1", plain))
 
 
+def test_composed_texts_stay_behind(spark):
+    """What may compose goes to Python, other texts do not; pieces are bounded."""
+    after = {ord(x) for cp in range(0x110000) if not 0xD800 <= cp < 0xE000 for x in unicodedata.normalize("NFD", chr(cp))[1:]}
+    odd = [chr(cp) for cp in range(0x110000) if not 0xD800 <= cp < 0xE000 and (cp in after or unicodedata.combining(chr(cp)) or not unicodedata.is_normalized("NFC", chr(cp)))]
+    plain = ["", "plain", "caf\u00e9 \u201cq\u201d \u2026", "\ud55c\uad6d\uc5b4", "\u6f22\u5b57\u3042", "\u0416"]
+    texts = spark.createDataFrame([(x,) for x in [*odd, *plain]], "s string").select("s", F.col("s").rlike(T._OPEN).alias("open"))
+    assert {r.s for r in texts.where("open").collect()} == set(odd)
+    df = spark.createDataFrame([(x,) for x in (None, "e\u0301", "a\u0323\u0302", *plain)], "s string")
+    assert [r.n for r in df.select(T.nfc("s").alias("n")).collect()] == [None, "\u00e9", "\u1ead", *plain]
+    sizes = [len("x" * n) for n in (3, 3, 3, 9, 0, 1)]
+    assert list(batches.pieces(pa.array(["x" * n for n in sizes] + [None]), 6)) == [(0, 2), (2, 1), (3, 1), (4, 3)]
+    assert list(batches.pieces(pa.array([], pa.string()))) == []
+
+
 def test_numbers_and_pages(spark):
     got = rows(spark, first=T.first_integer("s"), page=T.page_marker("s"), last=T.after_last("s", "p. "))
     for r in got:

@@ -2,8 +2,8 @@
 
 Snippets meet pages by an equi-join on minimisers: of the ``GRAM``-character runs in the first ``SPAN`` characters of a snippet the one
 with the least hash; a page lists the least of every such span, so a page that holds a snippet also lists its
-minimiser. Candidates are verified by containment. The join grows with the text, not with snippets times pages, and Catalyst
-broadcasts a side only if its measured size allows it.
+minimiser. Only minimisers that some snippet may have leave a page's task. Candidates are verified by containment. The join grows with
+the text, not with snippets times pages, and Catalyst broadcasts a side only if its measured size allows it.
 
 The choice of column and width needs no hint (a vote is positive or absent), so only the carried page is sequential: a scan over parts of the
 table rows, in ``carried``.
@@ -19,12 +19,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
+from docloom.functions.batches import bounded
 from docloom.operators.carried import CANDIDATES, REACH, carried, near_hints
 
 WIDTHS = [50, 30, 18]
 STEP = 8
 SPAN = 18
 GRAM = 10
+ASKED = 1 << 20  # places of the table of asked minimisers, a power of two
 MIN_CHARS = 8
 
 
@@ -40,26 +42,44 @@ def minimisers(text: str, span: int = SPAN, gram: int = GRAM) -> np.ndarray:
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
-    return np.unique(np.lib.stride_tricks.sliding_window_view(h, span - gram + 1).min(1)).view(np.int64)
+    size, wide = 1, span - gram + 1
+    while 2 * size <= wide:  # h: the least of each ``size`` runs
+        h = np.minimum(h[:-size], h[size:])
+        size *= 2
+    if size < wide:
+        h = np.minimum(h[: size - wide], h[wide - size :])
+    return np.unique(h).view(np.int64)
 
 
-def _listed(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
+def _listed(rows: DataFrame, keys: list[str], text: str, asked: np.ndarray | None = None) -> DataFrame:
+    """(keys, minimiser) of texts; of those that ``asked`` lacks, none."""
     schema = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in bounded(parts, len(keys)):
             found = [minimisers(t.as_py() or "") for t in part.column(len(keys))]
+            if asked is not None:
+                found = [f[asked[f & (ASKED - 1)]] for f in found]
             row = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
             yield pa.RecordBatch.from_arrays([*(part.column(k).take(row) for k in range(len(keys))), pa.array(np.concatenate(found) if found else [], pa.int64())], [*keys, "minimiser"])
 
     return rows.select(*keys, F.col(text)).mapInArrow(run, f"{schema}, minimiser long")
 
 
+def _asked(keyed: DataFrame) -> np.ndarray:
+    """A table of ``ASKED`` places, by the minimisers' low bits: those at which a snippet has one. What a full table lets through the join drops."""
+    places = keyed.select(F.col("minimiser").bitwiseAND(F.lit(ASKED - 1)).alias("place")).distinct().toArrow()  # at most ``ASKED`` numbers
+    table = np.zeros(ASKED, bool)
+    table[places.column("place").to_numpy()] = True
+    return table
+
+
 def snippet_hits(snips: DataFrame, pages: DataFrame, group: list[str]) -> DataFrame:
     """(all of ``snips``, page): the pages (``group``, page, text) that hold each ``snippet``; ``group`` columns must agree."""
     s = snips.withColumn("__first", F.substring("snippet", 1, SPAN))
-    keyed = s.join(_listed(s.select("__first").distinct(), ["__first"], "__first"), "__first")
-    listed = _listed(pages, [*group, "page"], "text")
+    firsts = _listed(s.select("__first").distinct(), ["__first"], "__first")
+    keyed = s.join(firsts, "__first")
+    listed = _listed(pages, [*group, "page"], "text", _asked(firsts))
     pairs = listed.join(keyed, [*group, "minimiser"]).select(*group, "page", F.struct(*snips.columns).alias("s"))
     # a page's candidates meet its text once; they are fewer than the page has runs, times the snippets that share one
     asked = pairs.groupBy(*group, "page").agg(F.collect_set("s").alias("asked"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
@@ -20,24 +20,31 @@ def ordered(value: str | Column, *order: str) -> Column:
     return F.transform(F.sort_array(F.collect_list(item)), lambda s: s.v)
 
 
-def merge_groups(rows: DataFrame, keys: list[str], order: list[str], fields: dict[str, list[str]], sep: str | dict[str, str] = "\n\n") -> DataFrame:
+def merge_groups(rows: DataFrame, keys: list[str], order: list[str], fields: dict[str, list[str]], sep: str | dict[str, str] = "\n\n", few: bool = False) -> DataFrame:
     """One row per key in the order of first appearance (column ``first_at``).
 
     ``fields`` maps an output column to the input fields merged into it: row by row, and within a row in the order given. ``sep`` joins values, by column if
-    a dictionary is given. Repeats are counted out first, each value at its first place, so what a group gathers is its distinct values, not its rows.
+    a dictionary is given. Rows of equal fields are counted out first, at the first place of each, so a group's task gets its different rows; they are
+    ranked there, and each value keeps its first rank: what a group gathers is its distinct values. ``few``: keys have few rows each, and rows go to their key's task as they are.
     """
+    inputs = list(dict.fromkeys(f for fs in fields.values() for f in fs))
+    if few:
+        placed, by = rows.select(*dict.fromkeys([*keys, *order, *inputs])), order
+        place = F.struct(*order)
+    else:
+        placed = rows.groupBy(*keys, *(F.col(f).alias(f"__f{i}") for i, f in enumerate(inputs))).agg(F.min(F.struct(*order)).alias("__at"))
+        placed, by, place = placed.withColumnsRenamed({f"__f{i}": f for i, f in enumerate(inputs)}), ["__at"], F.col("__at")
+    ranked = placed.withColumn("__n", F.rank().over(Window.partitionBy(*keys).orderBy(*by)).cast("long"))
     value = lambda f: T.strip(F.coalesce(F.col(f), F.lit("")))
-    entries = [F.struct(F.lit(c).alias("c"), F.lit(k).alias("k"), value(f).alias("v")) for c, fs in fields.items() for k, f in enumerate(fs)]
-    mark = F.struct(F.lit("").alias("c"), F.lit(0).alias("k"), F.lit("").alias("v"))  # keeps groups without any value, and their first place
-    kept = F.filter(F.array(mark, *entries), lambda e: (e.c == "") | (e.v != ""))
-    place = F.struct(*(F.col(o).alias(f"o{i}") for i, o in enumerate(order)))
-    each = rows.select(*keys, place.alias("__at"), F.explode(kept).alias("__e"))
-    first = each.groupBy(*keys, F.col("__e.c").alias("__c"), F.col("__e.v").alias("__v")).agg(F.min(F.struct("__at", F.col("__e.k").alias("k"))).alias("__at"))
-    of = lambda c, what: F.when(F.col("__c") == c, what)
-    whole = first.groupBy(*keys).agg(F.min(of("", F.col("__at.__at"))).alias("first_at"), *(F.sort_array(F.collect_list(of(c, F.struct("__at", "__v")))).alias(c) for c in fields))
+    step = max(map(len, fields.values()), default=1)
+    entries = [F.struct(F.lit(c).alias("c"), (F.col("__n") * step + k).alias("at"), value(f).alias("v")) for c, fs in fields.items() for k, f in enumerate(fs)]
+    mark = F.struct(F.lit("").alias("c"), F.col("__n").alias("at"), F.lit("").alias("v"))  # keeps groups without any value, and their first place
+    kept = F.filter(F.array(mark, *entries), lambda e: F.when(e.c == "", F.col("__n") == 1).otherwise(e.v != ""))
+    each = ranked.select(*keys, F.when(F.col("__n") == 1, place).alias("__first"), F.explode(kept).alias("__e"))
+    once = each.groupBy(*keys, F.col("__e.c").alias("__c"), F.col("__e.v").alias("__v")).agg(F.min("__e.at").alias("__at"), F.min("__first").alias("__first"))
+    whole = once.groupBy(*keys).agg(F.min("__first").alias("first_at"), *(F.sort_array(F.collect_list(F.when(F.col("__c") == c, F.struct("__at", "__v")))).alias(c) for c in fields))
     joint = lambda c: sep[c] if isinstance(sep, dict) else sep
-    first_at = F.struct(*(F.col(f"first_at.o{i}").alias(o) for i, o in enumerate(order)))
-    return whole.select(*keys, first_at.alias("first_at"), *(F.array_join(F.transform(c, lambda e: e["__v"]), joint(c)).alias(c) for c in fields))
+    return whole.select(*keys, "first_at", *(F.array_join(F.transform(c, lambda e: e["__v"]), joint(c)).alias(c) for c in fields))
 
 
 def capped_lines(c, n: int = 4) -> Column:

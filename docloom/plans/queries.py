@@ -180,14 +180,14 @@ _LINE_ORDER = _ORDER.split(", ")
   d as (select l_orderkey, v, min(i) as i from v group by 1, 2) select l_orderkey, string_agg(v, ';' order by i) as merged from d group by 1""")
 def group_merge_distinct(t, spark):
     rows = t("lineitem").withColumn("v", F.concat("l_returnflag", "l_linestatus"))
-    return rollup.merge_groups(rows, ["l_orderkey"], [*_LINE_ORDER, "l_returnflag", "l_linestatus"], {"merged": ["v"]}, ";").select("l_orderkey", "merged")
+    return rollup.merge_groups(rows, ["l_orderkey"], [*_LINE_ORDER, "l_returnflag", "l_linestatus"], {"merged": ["v"]}, ";", few=True).select("l_orderkey", "merged")
 
 
 @query(f"""with r as (select l_orderkey, l_returnflag, l_linestatus, row_number() over (partition by l_orderkey order by {_ORDER}, l_returnflag, l_linestatus) as i from lineitem),
   v as (select l_orderkey, l_returnflag as v, i * 2 as i from r union all select l_orderkey, l_linestatus, i * 2 + 1 from r), d as (select l_orderkey, v, min(i) as i from v group by 1, 2)
   select l_orderkey, string_agg(v, ';' order by i) as merged from d group by 1""")
 def multi_field_merge(t, spark):
-    return rollup.merge_groups(t("lineitem"), ["l_orderkey"], [*_LINE_ORDER, "l_returnflag", "l_linestatus"], {"merged": ["l_returnflag", "l_linestatus"]}, ";").select("l_orderkey", "merged")
+    return rollup.merge_groups(t("lineitem"), ["l_orderkey"], [*_LINE_ORDER, "l_returnflag", "l_linestatus"], {"merged": ["l_returnflag", "l_linestatus"]}, ";", few=True).select("l_orderkey", "merged")
 
 
 @query("""with g as (select user_id, event_type, min(event_id) as first_event, count(*) as n from events group by 1, 2)

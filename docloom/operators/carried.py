@@ -137,6 +137,17 @@ def numbered(rows: DataFrame, group: str, order: list[str], at: str, name: str =
     return joined.select(*rows.columns, (F.col("__base") + F.col("__nth")).alias(name))
 
 
+def summed_before(rows: DataFrame, group: str, order: list[str], at: str, weight: str, name: str = "before", parts: int | None = None) -> DataFrame:
+    """The rows with the sum of a whole number over the rows before them in the group by ``order``: sorted parts, and prefix sums over the parts' sums."""
+    dealt = stored(in_parts(rows, group, order, parts), f"{at}/dealt")
+    sums = dealt.groupBy(group, "part").agg(F.sum(weight).alias("__sum"))  # a row per part
+    before = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select(F.col(group).alias("__group"), F.col("part").alias("__part"), F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base"))
+    own = F.coalesce(F.sum(weight).over(Window.partitionBy(group, "part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    joined = dealt.withColumn("__own", own).join(bases, F.col(group).eqNullSafe(F.col("__group")) & (F.col("part") == F.col("__part")))
+    return joined.select(*rows.columns, (F.col("__base") + F.col("__own")).alias(name))
+
+
 def near_hints(rows: DataFrame, group: str, order: list[str], parent: str, page: str, reach: int = REACH, parts: int | None = None) -> DataFrame:
     """The rows with ``hint``: the page of the nearest other row with one within ``reach``, rows of the same parent first, the earlier row first.
 

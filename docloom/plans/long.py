@@ -135,16 +135,21 @@ _MARKED = f"""{_LINES_SQL}, d as (select doc_id, source, lag(doc_id) over (parti
 def source_blocks(t, spark):
     """All lines of a source as one text with a block around every document: some reach over the next document too, some are never closed."""
     at = files.scratch(spark)
-    known = files.stored(carried.numbered(t("documents").select("source", "doc_id"), "source", ["doc_id"], f"{at}/docs", "nth"), f"{at}/known")
+    own = t("documents").select("source", "doc_id", F.coalesce(F.size(T.split_lines("text")).cast("long"), F.lit(0)).alias("n"), F.col("text").isNotNull().alias("held"))
+    known = files.stored(carried.numbered(own, "source", ["doc_id"], f"{at}/docs", "nth"), f"{at}/known")
     earlier = known.select(F.col("source").alias("of"), (F.col("nth") + 1).alias("next"), F.col("doc_id").alias("before"))
-    placed = known.join(earlier, (F.col("source") == F.col("of")) & (F.col("nth") == F.col("next")), "left").select("doc_id", "before")
-    docs = t("documents").join(placed, "doc_id").select("source", "doc_id", "before", T.split_lines("text").alias("l"))
+    placed = known.join(earlier, (F.col("source") == F.col("of")) & (F.col("nth") == F.col("next")), "left").select("source", "doc_id", "before", "n", "held")
+    closes = lambda when: F.coalesce(when.cast("long"), F.lit(0))
+    size = F.when(F.col("held"), F.col("n") + 1 + closes(F.col("doc_id") % 4 != 0) + closes(F.col("before") % 4 == 1)).otherwise(0)
+    # lines are numbered by their documents' numbers of lines: texts are not sorted
+    based = carried.summed_before(placed.select("source", "doc_id", "before", size.alias("size")), "source", ["doc_id"], f"{at}/sizes", "size", "base")
+    docs = t("documents").join(based.select("doc_id", "before", "base"), "doc_id").select("source", "doc_id", "before", "base", T.split_lines("text").alias("l"))
     name = F.col("doc_id").cast("string")
     opening = F.concat(F.lit("<!-- x v1 chunk: "), name, F.lit(" hash: h"), name, F.lit(" lines: "), name, F.lit("-"), (F.col("doc_id") + 9).cast("string"), F.lit(" -->"))
     closing = lambda c, when: F.when(when, F.concat(F.lit("<!-- end chunk: "), F.col(c).cast("string"), F.lit(" -->")))
     ends = F.array_compact(F.array(closing("doc_id", F.col("doc_id") % 4 != 0), closing("before", F.col("before") % 4 == 1)))
-    lines = docs.select("source", "doc_id", F.posexplode(F.concat(F.array(opening), "l", ends)).alias("place", "line"))
-    numbered = files.stored(carried.numbered(lines, "source", ["doc_id", "place"], at, "line_no"), f"{at}/numbered")
+    lines = docs.select("source", "base", F.posexplode(F.concat(F.array(opening), "l", ends)).alias("place", "line"))
+    numbered = files.stored(lines.select("source", (F.col("base") + F.col("place") + 1).alias("line_no"), "line"), f"{at}/numbered")
     found = line_blocks.line_blocks(numbered, "source")
     return found.select("source", "chunk_id", "block_hash", "start_line", "end_line", "first_line", "last_line", F.md5("body").alias("body_md5"))
 

@@ -145,3 +145,13 @@ def test_line_blocks_equal_blocks_of_whole_texts(spark):
     found = line_blocks.line_blocks(lines, "k")
     assert sorted(tuple(x) for x in found.select(*names).collect()) == want and len(want) > 40
     assert all(x.end_line == 99999999999 for x in found.select("end_line").collect())
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_sums_before_go_through_parts(spark, tmp_path, parts):
+    r = random.Random(parts)
+    rows = [(r.choice(["a", "b", None]), n, r.randint(0, 5)) for n in range(120)]
+    r.shuffle(rows)
+    found = carried.summed_before(spark.createDataFrame(rows, "g string, n int, w long"), "g", ["n"], str(tmp_path), "w", "before", parts)
+    want = {(g, n): sum(v for h, m, v in rows if h == g and m < n) for g, n, _ in rows}
+    assert {(x.g, x.n): x.before for x in found.collect()} == want and found.count() == len(rows)

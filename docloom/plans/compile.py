@@ -19,7 +19,7 @@ def final_table(rows: DataFrame, subs: DataFrame, parents: DataFrame, key: str =
 
     ``subs`` and ``parents`` hold ``key`` and the four flow columns; a flow column replaces table text that was routed to it.
     """
-    field = lambda n: F.coalesce(F.try_element_at("fields", F.lit(n)), F.lit(""))
+    field = lambda n: F.coalesce(F.col("fields")[n], F.lit(""))  # noqa: E731  Spark replaces such a look-up in a map that the plan makes, in filters too
     names = sorted({*P.DIRECT, "duration_or_validity", *(f for _, f in P.DOCUMENT_SECTIONS), "table_summary", "table_rows", "section_title"})
     base = T.first_non_empty(field("visa_code"), field("stay_status_code"))
     flat = rows.select(

@@ -59,7 +59,8 @@ def part_fields(t) -> DataFrame:
         "expected_questions": F.concat_ws("\n", *(F.concat(F.lit(q), (size % 3).cast("string")) for q in ("a", "", "b", "c"))), "section_title": F.concat(F.lit("S"), (F.col("p_partkey") % 4).cast("string")),
     }
     key = F.when(size % 2 == 0, "visa").otherwise("stay")
-    return t("part").select(key.alias("manual_key"), F.floor(F.col("p_partkey") / 100).alias("chunk_no"), (F.col("p_partkey") % 100).alias("row_index"), F.create_map(*(x for n, c in fields.items() for x in (F.lit(n), c))).alias("fields"))
+    parts = t("part").select("p_partkey", "p_brand", "p_type", "p_size").repartition("p_partkey")  # some bytes a row in the file, hundreds in a task: one split may hold them all
+    return parts.select(key.alias("manual_key"), F.floor(F.col("p_partkey") / 100).alias("chunk_no"), (F.col("p_partkey") % 100).alias("row_index"), F.create_map(*(x for n, c in fields.items() for x in (F.lit(n), c))).alias("fields"))
 
 
 def _case(by: int, values: dict) -> str:
